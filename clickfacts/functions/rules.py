@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickfacts import schemas
 
@@ -24,31 +25,46 @@ FLOAT_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?
 ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
 
 
-def strict_json(line: Column) -> Column:
-    """Parse a line as exactly one JSON value; NULL when it is not.
+VALUE = "_value"
+KIND = "_kind"
+_FIELDS = "_fields"
+_ARRAY = "_array"
+
+
+def with_value(df: DataFrame, line: str) -> DataFrame:
+    """Adds the line parsed as exactly one JSON value (NULL when it is not one), its fields as text, and the event type.
+
+    Text fields come from one pass over the line; the value keeps the JSON types and is asked only where they matter.
 
     The parser stops after the first value, so trailing text must be ruled out. An object whose first ``}`` is the
-    last character of the line cannot be followed by anything. Other lines are parsed again inside an array and
-    inside an object: text after the value breaks at least one of the two wrappings, and a second array element
-    shows a bare comma.
+    last character of the line cannot be followed by anything. Other lines are parsed inside an array and inside an
+    object instead: text after the value breaks at least one of the two wrappings, and a second array element shows
+    a bare comma.
     """
-    flat = F.startswith(line, F.lit("{")) & (F.instr(line, "}") == F.length(line))
-    in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    single = (
-        in_array.isNotNull() & in_object.isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull()
+    text = F.col(line)
+    flat = F.startswith(text, F.lit("{")) & (F.instr(text, "}") == F.length(text))
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    alone = in_object.isNotNull() & F.try_variant_get(F.col(_ARRAY), "$[1]", "variant").isNull()
+    value = F.when(flat, F.try_parse_json(text)).when(alone, F.try_variant_get(F.col(_ARRAY), "$[0]", "variant"))
+    names = merged_order(schemas.REQUIRED_FIELDS.values())
+    fields = F.from_json(text, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    kind = F.when(
+        F.col(VALUE).isNotNull() & F.startswith(text, F.lit("{")) & _text("event_type").isin(*schemas.EVENT_TYPES),
+        _text("event_type"),
     )
-    return F.when(flat | single, F.try_parse_json(line))
+    valued = df.withColumn(_ARRAY, F.when(~flat, in_array)).withColumn(VALUE, value).drop(_ARRAY)
+    return valued.withColumn(_FIELDS, fields).withColumn(KIND, kind)
 
 
-def field_columns(value: Column, names: Iterable[str]) -> list[Column]:
-    """For every field its JSON type name (NULL when absent) and its text."""
-    out = []
-    for name in names:
-        path = f"$.{name}"
-        out.append(F.schema_of_variant(F.try_variant_get(value, path, "variant")).alias(f"t_{name}"))
-        out.append(F.try_variant_get(value, path, "string").alias(f"s_{name}"))
-    return out
+def _text(name: str) -> Column:
+    """Field as text: NULL when absent or JSON null."""
+    return F.col(f"{_FIELDS}.{name}")
+
+
+def _type(name: str) -> Column:
+    """JSON type name of a field, NULL when absent. Dearer than ``_text``; only evaluated for doubtful values."""
+    return F.schema_of_variant(F.try_variant_get(F.col(VALUE), f"$.{name}", "variant"))
 
 
 def merged_order(orders: Iterable[Iterable[str]]) -> list[str]:
@@ -72,42 +88,28 @@ def by_field(table: Mapping[str, Mapping[str, object]]) -> dict[str, dict[object
     return grouped
 
 
-def _is_text(name: str) -> Column:
-    return F.col(f"t_{name}") == "STRING"
-
-
-def _is_nested(name: str) -> Column:
-    return F.startswith(F.col(f"t_{name}"), F.lit("ARRAY")) | F.startswith(F.col(f"t_{name}"), F.lit("OBJECT"))
-
-
-def _present(name: str) -> Column:
-    """Key exists and its value is not JSON null."""
-    return F.coalesce(F.col(f"t_{name}") != "VOID", F.lit(False))
+def _is(name: str, *kinds: str) -> Column:
+    """The field exists and its JSON type is one of ``kinds`` (STRING, ARRAY, OBJECT, ...)."""
+    return F.coalesce(_type(name).rlike(f"^({'|'.join(kinds)})"), F.lit(False))
 
 
 def _kind_in(kinds: Iterable[str]) -> Column:
-    return F.col("s_event_type").isin(*kinds)
+    return F.col(KIND).isin(*kinds)
 
 
-def _number(value: Column, name: str) -> Column:
+def _number(name: str) -> Column:
     """Float value the way a dynamic consumer converts it: numbers, booleans and numeric text."""
-    as_double = F.try_variant_get(value, f"$.{name}", "double")
-    return F.when(_is_text(name) & ~F.col(f"s_{name}").rlike(FLOAT_TEXT), F.lit(None)).otherwise(as_double)
+    return F.try_variant_get(F.col(VALUE), f"$.{name}", "double")
 
 
 def _shown(name: str) -> Column:
     """Value as it appears in an error text."""
-    kind = F.col(f"t_{name}")
-    return (
-        F.when(kind == "VOID", "None")
-        .when(kind == "BOOLEAN", F.initcap(F.col(f"s_{name}")))
-        .otherwise(F.coalesce(F.col(f"s_{name}"), kind))
-    )
+    kind, text = _type(name), _text(name)
+    return F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(F.coalesce(text, kind))
 
 
 def _type_shown(name: str) -> Column:
-    kind = F.col(f"t_{name}")
-    return F.when(kind == "STRING", "str").when(F.startswith(kind, F.lit("ARRAY")), "list").otherwise("dict")
+    return F.when(_is(name, "STRING"), "str").when(_is(name, "ARRAY"), "list").otherwise("dict")
 
 
 def _error(when: Column, code: str, name: str | None, *message: Column | str) -> Column:
@@ -122,10 +124,8 @@ def required_checks() -> list[Column]:
     grouped = by_field({k: dict.fromkeys(names, True) for k, names in schemas.REQUIRED_FIELDS.items()})
     checks = []
     for name, rules in grouped.items():
-        blank = ~_present(name) | F.coalesce(_is_text(name) & (F.col(f"s_{name}") == ""), F.lit(False))
-        checks.append(
-            _error(_kind_in(rules[True]) & blank, "REQUIRED", name, f"missing or empty field: {name}")
-        )
+        blank = F.coalesce(_text(name), F.lit("")) == ""
+        checks.append(_error(_kind_in(rules[True]) & blank, "REQUIRED", name, f"missing or empty field: {name}"))
     return checks
 
 
@@ -133,7 +133,7 @@ def type_checks() -> list[Column]:
     checks = []
     for name, rules in by_field(schemas.NUMERIC_BOUNDS).items():
         kinds = [k for group in rules.values() for k in group]
-        wrong = _present(name) & (_is_text(name) | _is_nested(name))
+        wrong = _is(name, "STRING", "ARRAY", "OBJECT")
         checks.append(
             _error(
                 _kind_in(kinds) & wrong, "TYPE", name, f"wrong type for {name}: expected {NUMBER_SHOWN}, got <class '",
@@ -143,12 +143,13 @@ def type_checks() -> list[Column]:
     return checks
 
 
-def range_checks(value: Column) -> list[Column]:
+def range_checks() -> list[Column]:
     checks = []
     for name, rules in by_field(schemas.NUMERIC_BOUNDS).items():
-        number = _number(value, name)
+        number = _number(name)
+        readable = ~_is(name, "STRING") | _text(name).rlike(FLOAT_TEXT)
         for (low, high), kinds in rules.items():
-            outside = F.coalesce(~number.between(low, high), F.lit(False)) & _present(name)
+            outside = F.coalesce(~number.between(low, high), F.lit(False)) & readable
             checks.append(
                 _error(
                     _kind_in(kinds) & outside, "RANGE", name,
@@ -162,11 +163,12 @@ def enum_checks() -> list[Column]:
     checks = []
     for name, rules in by_field(schemas.ALLOWED_VALUES).items():
         for allowed, kinds in rules.items():
-            listed = F.coalesce(_is_text(name) & F.col(f"s_{name}").isin(*allowed), F.lit(False))
+            # No allowed word reads like a JSON number or boolean, so equal text means an equal string.
+            listed = F.coalesce(_text(name).isin(*allowed), F.lit(False))
             shown = ", ".join(f"'{a}'" for a in allowed)
             checks.append(
                 _error(
-                    _kind_in(kinds) & F.col(f"t_{name}").isNotNull() & ~listed, "ENUM", name,
+                    _kind_in(kinds) & ~listed & _type(name).isNotNull(), "ENUM", name,
                     f"invalid value for {name}: '", _shown(name), f"' not in [{shown}]",
                 )
             )
@@ -174,54 +176,56 @@ def enum_checks() -> list[Column]:
 
 
 def timestamp_checks() -> list[Column]:
-    text = F.col("s_timestamp")
+    text = _text("timestamp")
     zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
     iso = zoned.rlike(ISO_TEXT) & F.try_to_timestamp(zoned).isNotNull()
-    bad = _is_text("timestamp") & (text != "") & ~F.coalesce(iso, F.lit(False))
-    return [_error(F.coalesce(bad, F.lit(False)), "TIMESTAMP", "timestamp", "invalid timestamp format: ", text)]
+    bad = ~F.coalesce(iso, F.lit(False)) & F.coalesce(text != "", F.lit(False)) & _is("timestamp", "STRING")
+    return [_error(bad, "TIMESTAMP", "timestamp", "invalid timestamp format: ", text)]
 
 
-def truthy(value: Column, name: str) -> Column:
+def truthy(name: str) -> Column:
     """Dynamic-language truth of a field: absent, null, "", 0, false, [] and {} are false."""
-    kind, text = F.col(f"t_{name}"), F.col(f"s_{name}")
+    kind, text = _type(name), _text(name)
     return (
         F.when(kind.isNull() | (kind == "VOID"), F.lit(False))
         .when(kind == "STRING", text != "")
         .when(kind == "BOOLEAN", text == "true")
-        .when(F.startswith(kind, F.lit("ARRAY")), F.try_variant_get(value, f"$.{name}[0]", "variant").isNotNull())
-        .when(F.startswith(kind, F.lit("OBJECT")), kind != "OBJECT<>")
-        .otherwise(F.coalesce(F.try_variant_get(value, f"$.{name}", "double") != 0, F.lit(True)))
+        .when(_is(name, "ARRAY"), F.try_variant_get(F.col(VALUE), f"$.{name}[0]", "variant").isNotNull())
+        .when(_is(name, "OBJECT"), kind != "OBJECT<>")
+        .otherwise(F.coalesce(_number(name) != 0, F.lit(True)))
     )
 
 
-def known_type() -> Column:
-    return F.coalesce(_is_text("event_type") & F.col("s_event_type").isin(*schemas.EVENT_TYPES), F.lit(False))
-
-
-def record_errors(value: Column) -> Column:
+def record_errors() -> Column:
     """All errors of a record in reporting order: required, types, ranges, enums, timestamp."""
-    checks = required_checks() + type_checks() + range_checks(value) + enum_checks() + timestamp_checks()
+    checks = required_checks() + type_checks() + range_checks() + enum_checks() + timestamp_checks()
     return (
-        F.when(value.isNull(), _error(F.lit(True), "INVALID_JSON", None, "invalid JSON"))
+        F.when(F.col(KIND).isNotNull(), F.concat(*checks))
+        .when(F.col(VALUE).isNull(), _error(F.lit(True), "INVALID_JSON", None, "invalid JSON"))
         .when(
-            ~truthy(value, "event_type"),
+            ~truthy("event_type"),
             _error(F.lit(True), "MISSING_EVENT_TYPE", "event_type", "missing field: event_type"),
         )
-        .when(
-            ~known_type(),
-            _error(F.lit(True), "UNKNOWN_EVENT_TYPE", "event_type", "unknown event_type: ", _shown("event_type")),
+        .otherwise(
+            _error(F.lit(True), "UNKNOWN_EVENT_TYPE", "event_type", "unknown event_type: ", _shown("event_type"))
         )
-        .otherwise(F.concat(*checks))
     )
 
 
-def record_fatal(value: Column, root_type: Column) -> Column:
+def record_fatal() -> Column:
     """True for a record that makes its whole file fail instead of being reported.
 
     That is a root that is no object, an event type that is a non-empty list or object, and a non-text timestamp on
     a record that gets as far as the timestamp check.
     """
-    bad_root = ~F.startswith(root_type, F.lit("OBJECT"))
-    bad_type = _is_nested("event_type") & truthy(value, "event_type")
-    bad_time = known_type() & F.col("t_timestamp").isNotNull() & ~_is_text("timestamp") & truthy(value, "timestamp")
-    return value.isNotNull() & F.coalesce(bad_root | F.coalesce(bad_type, F.lit(False)) | bad_time, F.lit(False))
+    root = F.schema_of_variant(F.col(VALUE))
+    return (
+        F.when(F.col(VALUE).isNull(), F.lit(False))
+        .when(
+            F.col(KIND).isNotNull(),
+            ~_is("timestamp", "STRING") & _type("timestamp").isNotNull() & truthy("timestamp"),
+        )
+        .otherwise(
+            ~F.startswith(root, F.lit("OBJECT")) | (_is("event_type", "ARRAY", "OBJECT") & truthy("event_type"))
+        )
+    )

@@ -26,17 +26,29 @@ def raw_partitions(day: Column) -> list[Column]:
     ]
 
 
+def _event_schema(event_type: str) -> T.StructType:
+    payload = [f for f in schemas.RAW_EVENT_SCHEMAS[event_type].fields if f.name != "event_type"]
+    return T.StructType(payload + _PARTITION_SCHEMA)
+
+
+def _of_type(df: DataFrame, event_type: str) -> DataFrame:
+    return df.where(F.col("event_type") == event_type)
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    on = F.concat_ws("-", "year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
+    return df.withColumn("date", F.try_to_date(on, "yyyy-MM-dd")).drop("year", "month", "day")
+
+
 def read_events(
     spark: SparkSession, root: str, event_type: str, dates: Iterable[date] | None = None
 ) -> DataFrame:
     """Events of one type from ``root``, with the partition ``date``; all days unless ``dates`` is given.
 
-    The predicates are on partition columns only, so unwanted types and days are never listed as tasks. A type
-    without any file gives an empty frame.
+    The predicates are on partition columns only, so unwanted types and days are never read. A type without any
+    file gives an empty frame.
     """
-    payload = [f for f in schemas.RAW_EVENT_SCHEMAS[event_type].fields if f.name != "event_type"]
-    df = spark.read.schema(T.StructType(payload + _PARTITION_SCHEMA)).json(root)
-    df = df.where(F.col("event_type") == event_type)
+    df = _of_type(spark.read.schema(_event_schema(event_type)).json(root), event_type)
     if dates is not None:
         wanted = F.lit(False)
         for d in dates:
@@ -44,8 +56,17 @@ def read_events(
                 (F.col("year") == f"{d.year:04d}") & (F.col("month") == f"{d.month:02d}") & (F.col("day") == f"{d.day:02d}")
             )
         df = df.where(wanted)
-    on = F.concat_ws("-", "year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-    return df.withColumn("date", F.try_to_date(on, "yyyy-MM-dd")).drop("year", "month", "day")
+    return _dated(df)
+
+
+def stream_events(
+    spark: SparkSession, root: str, event_type: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Events of one type as they arrive below ``root``, with the partition ``date``."""
+    reader = spark.readStream.schema(_event_schema(event_type))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _dated(_of_type(reader.json(root), event_type))
 
 
 def parent(root: str) -> str:
@@ -54,19 +75,23 @@ def parent(root: str) -> str:
     return path.rstrip("/").rpartition("/")[0] or "/"
 
 
-def with_positions(lines: DataFrame) -> DataFrame:
-    """Stripped non-blank lines of a text scan with their file and position.
-
-    ``block`` is the byte offset of the scan split and ``pos`` grows with the line order inside the split. ``pos`` is
-    only comparable between rows of one evaluation of the scan, so stage the frame before joining it with itself.
-    """
-    kept = lines.select(
+def located(lines: DataFrame) -> DataFrame:
+    """Stripped non-blank lines of a text scan with their file and the byte offset of their scan split."""
+    return lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("size_bytes"),
         F.col("_metadata.file_block_start").alias("block"),
         C.strip(F.col("value")).alias("line"),
     ).where(F.length("line") > 0)
-    return kept.withColumn("pos", F.monotonically_increasing_id())
+
+
+def with_positions(lines: DataFrame) -> DataFrame:
+    """Adds ``pos``, which grows with the line order inside a split, to lines as they come from the scan.
+
+    ``pos`` is only comparable between rows of one evaluation of the scan, so stage the frame before joining it with
+    itself.
+    """
+    return lines.withColumn("pos", F.monotonically_increasing_id())
 
 
 def _event_files(df: DataFrame, path: str, base: str) -> DataFrame:
@@ -82,12 +107,12 @@ def read_lines(
         .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
         .text(root)
     )
-    return event_lines(lines, base or parent(root))
+    return with_positions(event_lines(lines, base or parent(root)))
 
 
 def event_lines(lines: DataFrame, base: str) -> DataFrame:
-    """Positioned lines of the event files of a text scan, batch or stream."""
-    return with_positions(_event_files(lines, "_metadata.file_path", base))
+    """Lines of the event files of a text scan, batch or stream; without positions."""
+    return located(_event_files(lines, "_metadata.file_path", base))
 
 
 def list_files(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:

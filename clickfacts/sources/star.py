@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickfacts.sources.raw import raw_partitions
+
 # Which raw event type a source event stands for, and the vocabularies of the records.
 KINDS = {
     "view": "page_view",
@@ -249,14 +251,17 @@ def raw_lines(events: DataFrame) -> DataFrame:
     return base.withColumn("whole", whole).select("event_id", "kind", "ts", "date", "fault", line.alias("line"))
 
 
-def raw_files(events: DataFrame) -> DataFrame:
+def raw_files(events: DataFrame, day: Column | None = None) -> DataFrame:
     """Lines of the raw zone with their partition columns; every tenth line is followed by a blank one."""
     blank = F.when(F.col("event_id") % 10 == 0, F.array(F.col("line"), F.lit("   "))).otherwise(F.array("line"))
     return raw_lines(events).select(
         F.col("kind").alias("event_type"),
-        F.date_format("ts", "yyyy").alias("year"),
-        F.date_format("ts", "MM").alias("month"),
-        F.date_format("ts", "dd").alias("day"),
+        *raw_partitions(F.col("ts") if day is None else day),
         "event_id",
         F.posexplode(blank).alias("part", "value"),
     )
+
+
+def clicks(events: DataFrame) -> DataFrame:
+    """All events as clicks: day, session, user and time."""
+    return _base(events).select("date", "session_id", "user_id", F.col("ts").alias("timestamp"))

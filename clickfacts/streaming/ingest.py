@@ -46,7 +46,7 @@ def start_ingest(
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         target = f"{out}/checked/batch_id={batch_id}"
-        quality.validate(batch).write.mode("overwrite").parquet(target)
+        quality.validate(raw.with_positions(batch)).write.mode("overwrite").parquet(target)
         checked = session.read.parquet(target)
         stamp = F.lit(datetime.now(UTC)) if now is None else now
         done = Ingest(checked, base, stamp)
