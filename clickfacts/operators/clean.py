@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfacts import schemas
@@ -16,22 +16,16 @@ PRODUCT_VIEW_KEY = ("date", "session_id", "product_id", "timestamp")
 CART_EVENT_KEY = ("date", "session_id", "product_id", "action", "timestamp")
 
 
-def keep_one(df: DataFrame, key: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the first by ``prefer``, ties broken by all remaining columns, so reruns agree.
+def keep_one(df: DataFrame, key: Sequence[str], by: Sequence[str] = (), largest: bool = False) -> DataFrame:
+    """One row per key: the smallest (or largest) by the columns ``by``, ties decided by all remaining columns.
 
-    A minimum over one ordering struct merges on the map side, so many copies of one key shrink to one row per task
-    before the shuffle. NULL keys compare equal.
+    The result is the same on every run. An extreme over one struct merges on the map side, so many copies of one key
+    shrink to one row per task before the shuffle. NULL keys compare equal; NULL is smaller than every value.
     """
-    rest = [c for c in df.columns if c not in key]
-    order = [p.alias(f"p{i}") for i, p in enumerate(prefer)]
-    if not rest:
-        return df.dropDuplicates(list(key))
-    best = F.min(F.struct(*order, *rest)).alias("best")
-    return df.groupBy(*key).agg(best).select(*[F.col(c) if c in key else F.col(f"best.{c}").alias(c) for c in df.columns])
-
-
-def _longest_first(c: str) -> list[Column]:
-    return [F.col(c).isNull(), -F.col(c)]
+    rest = [c for c in df.columns if c not in key and c not in by]
+    pick = F.max if largest else F.min
+    best = pick(F.struct(*by, *rest)).alias("best")
+    return df.groupBy(*key).agg(best).select(*[c if c in key else F.col(f"best.{c}") for c in df.columns])
 
 
 def parse_page_views(raw: DataFrame) -> DataFrame:
@@ -49,7 +43,7 @@ def parse_page_views(raw: DataFrame) -> DataFrame:
 
 def dedup_page_views(parsed: DataFrame) -> DataFrame:
     """One view per session, url and time; the longest one survives."""
-    return keep_one(parsed, PAGE_VIEW_KEY, [*_longest_first("time_on_page_seconds"), F.col("user_id")])
+    return keep_one(parsed, PAGE_VIEW_KEY, ["time_on_page_seconds", "user_id"], largest=True)
 
 
 def clean_page_views(raw: DataFrame) -> DataFrame:
@@ -67,7 +61,7 @@ def clean_product_views(raw: DataFrame) -> DataFrame:
             "time_on_page_seconds": C.to_double(F.col("time_on_page_seconds")),
         }
     )
-    return keep_one(typed, PRODUCT_VIEW_KEY, [*_longest_first("time_on_page_seconds"), F.col("user_id")])
+    return keep_one(typed, PRODUCT_VIEW_KEY, ["time_on_page_seconds", "user_id"], largest=True)
 
 
 def clean_cart_events(raw: DataFrame) -> DataFrame:
@@ -75,7 +69,7 @@ def clean_cart_events(raw: DataFrame) -> DataFrame:
     typed = raw.withColumns(
         {"timestamp": F.try_to_timestamp("timestamp"), "action": C.lower_trim(F.col("action"))}
     ).where(F.col("action").isin(*schemas.CART_ACTIONS))
-    return keep_one(typed, CART_EVENT_KEY, [F.col("user_id").isNull(), F.col("user_id")])
+    return keep_one(typed, CART_EVENT_KEY, ["user_id"], largest=True)
 
 
 def union_events(*frames: DataFrame) -> DataFrame:

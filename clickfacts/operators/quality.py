@@ -13,9 +13,14 @@ from clickfacts.functions import rules
 # Blocks of one file are ranked in stretches of this many bytes before the file as a whole is ranked.
 _STRETCH = 64 << 30
 
+VALID, INVALID, FATAL = "valid", "invalid", "fatal"
+
 
 def validate(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Adds ``event_type`` (of the payload), ``errors`` and ``fatal`` to a frame of JSON lines.
+    """Adds ``event_type`` (of the payload), ``status`` and ``errors`` to a frame of JSON lines.
+
+    ``status`` is valid, invalid, or fatal for a record that fails its whole file. A stored frame can be filtered and
+    counted by it without reading the errors.
 
     The outcome leaves through a one-element ``inline``: later filters on it stop there instead of being pushed down
     with a second copy of all parsing and checking in them.
@@ -23,20 +28,23 @@ def validate(lines: DataFrame, line: str = "line") -> DataFrame:
     keep = lines.columns
     parsed = rules.with_value(lines.withColumn(line, C.strip(F.col(line))), line)
     fatal = ~F.is_valid_utf8(F.col(line)) | rules.record_fatal()
-    outcome = F.struct(
-        F.col(rules.KIND).alias("event_type"),
-        F.when(fatal, F.array().cast(rules.ERRORS_TYPE)).otherwise(rules.record_errors()).alias("errors"),
-        fatal.alias("fatal"),
-    )
-    return parsed.select(*keep, F.inline(F.array(outcome)))
+    found = F.when(fatal, F.array().cast(rules.ERRORS_TYPE)).otherwise(rules.record_errors())
+    outcome = F.struct(F.col(rules.KIND).alias("event_type"), fatal.alias("_fatal"), found.alias("errors"))
+    checked = parsed.select(*keep, F.inline(F.array(outcome)))
+    status = F.when(F.col("_fatal"), FATAL).when(F.size("errors") == 0, VALID).otherwise(INVALID)
+    return checked.select(*keep, "event_type", status.alias("status"), "errors")
 
 
 def is_valid() -> Column:
-    return ~F.col("fatal") & (F.size("errors") == 0)
+    return F.col("status") == VALID
 
 
 def is_invalid() -> Column:
-    return ~F.col("fatal") & (F.size("errors") > 0)
+    return F.col("status") == INVALID
+
+
+def is_fatal() -> Column:
+    return F.col("status") == FATAL
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,7 +78,7 @@ def number_lines(rows: DataFrame, block_index: DataFrame) -> DataFrame:
 
 def failed_files(checked: DataFrame, base: str = "/") -> DataFrame:
     """Files with at least one record that cannot be processed at all."""
-    hit = checked.where("fatal").groupBy("path").agg(F.count("*").alias("fatal_lines"))
+    hit = checked.where(is_fatal()).groupBy("path").agg(F.count("*").alias("fatal_lines"))
     key = C.object_key(F.col("path"), base)
     return hit.select("path", F.substring(key, 1, schemas.FAILURE_KEY_CHARS).alias("failure_key"), "fatal_lines")
 
@@ -85,7 +93,7 @@ def file_summary(checked: DataFrame, base: str = "/", files: DataFrame | None =
         F.count("*").alias("total"),
         F.count_if(is_valid()).alias("valid"),
         F.count_if(is_invalid()).alias("invalid"),
-        F.bool_or("fatal").alias("failed"),
+        F.bool_or(is_fatal()).alias("failed"),
     )
     if files is not None:
         per_file = (

@@ -45,6 +45,8 @@ def time_stats(st: DataFrame, value: str = "total_time") -> DataFrame:
 def _outliers(
     st: DataFrame, value: str, kind: str, text: tuple[str, str], z: float, k: float | None
 ) -> DataFrame:
+    # Dropped up front, not by the join: both uses of the totals then share one shuffle.
+    st = st.na.drop(subset=["date"])
     # One row per calendar day: a DATE has at most 3.7 million values, so the statistics always fit a broadcast.
     scored = st.join(F.broadcast(time_stats(st, value)), "date").withColumn(
         "z_score", F.abs((F.col(value) - F.col("mean_time")) / F.col("stddev_time"))
@@ -83,7 +85,8 @@ def rapid_clicks(clicks: DataFrame, z: float = Z_LIMIT) -> DataFrame:
 
 def anomaly_table(anomalies: DataFrame) -> DataFrame:
     """Anomalies at the key of the serving table; on a clash the highest score stays, then the lowest user."""
-    return keep_one(anomalies, ANOMALIES_KEY, [-F.col("z_score"), F.col("user_id")])
+    ranked = anomalies.withColumn("_down", -F.col("z_score"))
+    return keep_one(ranked, ANOMALIES_KEY, ["_down", "user_id"]).drop("_down")
 
 
 def session_summary(pv: DataFrame) -> DataFrame:

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfacts.operators.clean import keep_one
 
 
-def new_rows(target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def new_rows(target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Incoming rows whose key the target lacks; of several with one key the first by ``order``."""
     first = keep_one(incoming, key, order)
     return first.join(target.select(*key), list(key), "left_anti").select(*target.columns)
 
 
 def insert_or_ignore(
-    target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[Column] = ()
+    target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """The target with the new rows appended; rows with a key already present are ignored."""
     return target.unionByName(new_rows(target, incoming, key, order))

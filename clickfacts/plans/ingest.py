@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfacts.operators import quality
@@ -19,7 +19,7 @@ class Ingest:
 
     checked: DataFrame
     base: str
-    now: Column
+    now: datetime
     files: DataFrame | None = None
 
     @property
@@ -32,11 +32,11 @@ class Ingest:
 
     @property
     def reports(self) -> DataFrame:
-        return quality.quarantine(self.checked, self.now, self.base)
+        return quality.quarantine(self.checked, F.lit(self.now), self.base)
 
     @property
     def metrics(self) -> DataFrame:
-        return quality.ingest_metrics(self.summary, self.failures, self.now)
+        return quality.ingest_metrics(self.summary, self.failures, F.lit(self.now))
 
     @property
     def valid_events(self) -> DataFrame:
@@ -48,7 +48,7 @@ def run(
     spark: SparkSession,
     root: str,
     base: str | None = None,
-    now: Column | None = None,
+    now: datetime | None = None,
     checked_path: str | None = None,
     with_empty_files: bool = False,
 ) -> Ingest:
@@ -61,4 +61,4 @@ def run(
     base = raw.parent(root) if base is None else base
     checked = staging.stage(quality.validate(raw.read_lines(spark, root, base)), "checked", checked_path)
     files = raw.list_files(spark, root, base) if with_empty_files else None
-    return Ingest(checked, base, F.lit(datetime.now(UTC)) if now is None else now, files)
+    return Ingest(checked, base, now or datetime.now(UTC), files)

@@ -81,7 +81,7 @@ WITH copies AS (
 SELECT date, session_id, product_id, user_id, category, price, time_on_page_seconds
 FROM copies
 QUALIFY row_number() OVER (PARTITION BY date, session_id, product_id
-  ORDER BY time_on_page_seconds DESC NULLS LAST, user_id, category, price NULLS FIRST) = 1
+  ORDER BY time_on_page_seconds DESC NULLS LAST, user_id DESC, category DESC, price DESC NULLS LAST) = 1
 """,
 )
 def _dedup_product_views(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def _codes(*only: str) -> Column:
 )
 def _validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_lines(spark, sf_dir).select(
-        "event_id", "event_type", _codes().alias("codes"), F.col("fatal").cast("int").alias("fatal")
+        "event_id", "event_type", _codes().alias("codes"), quality.is_fatal().cast("int").alias("fatal")
     )
 
 
@@ -116,7 +116,8 @@ def _error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where(simple & (F.col("fault") != 13)).select("event_id", first["message"].alias("message"))
 
 
-_FILE_KEYS = [C.path_event_type(F.col("key")).alias("event_type"), C.path_date(F.col("key")).alias("date")]
+def _file_keys() -> list[Column]:
+    return [C.path_event_type(F.col("key")).alias("event_type"), C.path_date(F.col("key")).alias("date")]
 
 
 @query(
@@ -135,7 +136,7 @@ def _file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("file_failures", S.FILES + "SELECT event_type, date, fatal_lines FROM files WHERE failed")
 def _file_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = ingested(spark, sf_dir).failures.withColumnRenamed("failure_key", "key")
-    return failed.select(*_FILE_KEYS, "fatal_lines").withColumn("date", day())
+    return failed.select(*_file_keys(), "fatal_lines").withColumn("date", day())
 
 
 @query(
@@ -200,7 +201,7 @@ def _quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform("invalid_events", lambda r: r["line_no"])
     per_record = F.transform("invalid_events", lambda r: F.size(r["errors"]).cast("bigint"))
     return report.select(
-        *_FILE_KEYS,
+        *_file_keys(),
         "total_records",
         "invalid_count",
         "error_rate_pct",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,5 @@ def ingested(spark: SparkSession, sf_dir: str, zone: Callable[[SparkSession, str
     root = zone(spark, sf_dir)
     key = (spark.sparkContext.applicationId, root)
     if key not in _INGESTS:
-        stamp = F.lit("2024-02-01 01:02:03").cast("timestamp")
-        _INGESTS[key] = ingest.run(spark, root, now=stamp)
+        _INGESTS[key] = ingest.run(spark, root, now=datetime(2024, 2, 1, 1, 2, 3, tzinfo=UTC))
     return _INGESTS[key]

@@ -163,7 +163,7 @@ def _insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = metrics.where(F.col("date") <= F.lit(DAY).cast("date"))
     again = F.explode(F.array(F.lit(1000), F.lit(2000)))
     arriving = metrics.withColumn("plus", again).withColumn("total_sessions", F.col("total_sessions") + F.col("plus"))
-    merged = tables.insert_or_ignore(stored, arriving, PAGE_METRICS_KEY, [F.col("plus")])
+    merged = tables.insert_or_ignore(stored, arriving, PAGE_METRICS_KEY, ["plus"])
     return merged.select(
         day(), "page_url", "page_type", rounded("avg_time_on_page"), "bounce_rate", "total_sessions"
     )

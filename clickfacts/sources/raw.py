@@ -69,12 +69,6 @@ def stream_events(
     return _dated(_of_type(reader.json(root), event_type))
 
 
-def parent(root: str) -> str:
-    """Folder above ``root`` without scheme and host: what the keys of the files below ``root`` are relative to."""
-    path = urlsplit(root).path if ":" in root.split("/", 1)[0] else root
-    return path.rstrip("/").rpartition("/")[0] or "/"
-
-
 def located(lines: DataFrame) -> DataFrame:
     """Stripped non-blank lines of a text scan with their file and the byte offset of their scan split."""
     return lines.select(
@@ -94,32 +88,47 @@ def with_positions(lines: DataFrame) -> DataFrame:
     return lines.withColumn("pos", F.monotonically_increasing_id())
 
 
-def _event_files(df: DataFrame, path: str, base: str) -> DataFrame:
+def _path_of(root: str) -> str:
+    return urlsplit(root).path if ":" in root.split("/", 1)[0] else root
+
+
+def parent(root: str) -> str:
+    """Folder above ``root`` without scheme and host: what the keys of the files below ``root`` are relative to."""
+    return _path_of(root).rstrip("/").rpartition("/")[0] or "/"
+
+
+def _event_files(df: DataFrame, path: str, root: str, base: str) -> DataFrame:
+    """Leave out reports and catalogs; files are only looked at one by one where ``root`` may hold some."""
+    below = _path_of(root).rstrip("/").removeprefix(base.rstrip("/")).strip("/")
+    if below:
+        return df.where(F.lit(False)) if f"{below}/".startswith(schemas.NON_EVENT_PREFIXES) else df
     return df.where(C.is_event_key(C.object_key(F.col(path), base), schemas.NON_EVENT_PREFIXES))
 
 
+def event_lines(lines: DataFrame, root: str, base: str) -> DataFrame:
+    """Lines of the event files of a text scan of ``root``, batch or stream; without positions."""
+    return located(_event_files(lines, "_metadata.file_path", root, base))
+
+
 def read_lines(
     spark: SparkSession, root: str, base: str | None = None, skip_corrupt_files: bool = False
 ) -> DataFrame:
-    """Event lines of every file below ``root`` (gzip or plain by extension), reports and catalogs left out."""
+    """Event lines of every file below ``root`` (gzip or plain by extension), with positions."""
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
         .text(root)
     )
-    return with_positions(event_lines(lines, base or parent(root)))
-
-
-def event_lines(lines: DataFrame, base: str) -> DataFrame:
-    """Lines of the event files of a text scan, batch or stream; without positions."""
-    return located(_event_files(lines, "_metadata.file_path", base))
+    return with_positions(event_lines(lines, root, base or parent(root)))
 
 
 def list_files(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:
     """Path and size of every event file, also of files without a single line; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    listed = _event_files(files, "path", base or parent(root))
-    return listed.select("path", F.col("length").alias("size_bytes"))
+    listed = _event_files(files, "_metadata.file_path", root, base or parent(root))
+    return listed.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes")
+    )
 
 
 def _by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clickfacts.operators import quality
@@ -30,7 +29,7 @@ def start_ingest(
     out: str,
     checkpoint: str,
     base: str | None = None,
-    now: Column | None = None,
+    now: datetime | None = None,
     files_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
@@ -48,11 +47,10 @@ def start_ingest(
         target = f"{out}/checked/batch_id={batch_id}"
         quality.validate(raw.with_positions(batch)).write.mode("overwrite").parquet(target)
         checked = session.read.parquet(target)
-        stamp = F.lit(datetime.now(UTC)) if now is None else now
-        done = Ingest(checked, base, stamp)
+        done = Ingest(checked, base, now or datetime.now(UTC))
         for name, df in zip(TABLES, (done.summary, done.failures, done.reports, done.metrics), strict=True):
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
 
-    lines = raw.event_lines(line_stream(spark, root, files_per_batch), base)
+    lines = raw.event_lines(line_stream(spark, root, files_per_batch), root, base)
     writer = lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
