@@ -28,11 +28,11 @@ def validate(lines: DataFrame, line: str = "line") -> DataFrame:
     keep = lines.columns
     parsed = rules.with_value(lines.withColumn(line, C.strip(F.col(line))), line)
     fatal = ~F.is_valid_utf8(F.col(line)) | rules.record_fatal()
-    found = F.when(fatal, F.array().cast(rules.ERRORS_TYPE)).otherwise(rules.record_errors())
-    outcome = F.struct(F.col(rules.KIND).alias("event_type"), fatal.alias("_fatal"), found.alias("errors"))
-    checked = parsed.select(*keep, F.inline(F.array(outcome)))
-    status = F.when(F.col("_fatal"), FATAL).when(F.size("errors") == 0, VALID).otherwise(INVALID)
-    return checked.select(*keep, "event_type", status.alias("status"), "errors")
+    judged = parsed.select(*keep, F.col(rules.KIND), fatal.alias("_fatal"), rules.record_errors().alias("_errors"))
+    status = F.when(F.col("_fatal"), FATAL).when(F.size("_errors") == 0, VALID).otherwise(INVALID)
+    errors = F.when(F.col("_fatal"), F.array().cast(rules.ERRORS_TYPE)).otherwise(F.col("_errors"))
+    outcome = F.struct(F.col(rules.KIND).alias("event_type"), status.alias("status"), errors.alias("errors"))
+    return judged.select(*keep, F.inline(F.array(outcome)))
 
 
 def is_valid() -> Column:

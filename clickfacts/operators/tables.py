@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from clickfacts.operators.clean import keep_one
 
+_SPREAD = 1 << 16
+
 
 def new_rows(target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Incoming rows whose key the target lacks; of several with one key the first by ``order``."""
@@ -26,15 +28,17 @@ def insert_or_ignore(
 def enrich(events: DataFrame, catalog: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Left join of catalog attributes; an attribute the events carry already is kept where it is not NULL.
 
-    No broadcast is forced: the size limit of the optimizer decides, and a large catalog is joined by a shuffle
-    whose hot keys adaptive execution splits.
+    No broadcast is forced: the size limit of the optimizer decides. Beyond it the join shuffles; adaptive execution
+    splits hot keys, and events without a key, which match nothing, are spread by their content instead of meeting
+    in one task.
     """
-    side = catalog.select(key, *[F.col(a).alias(f"_{a}") for a in attributes])
-    joined = events.join(side, key, "left")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*events.columns), F.lit(_SPREAD))).otherwise(F.lit(0))
+    side = catalog.select(key, *[F.col(a).alias(f"_{a}") for a in attributes]).withColumn("_spread", F.lit(0).cast("bigint"))
+    joined = events.withColumn("_spread", spread.cast("bigint")).join(side, [key, "_spread"], "left")
     for a in attributes:
         value = F.coalesce(F.col(a), F.col(f"_{a}")) if a in events.columns else F.col(f"_{a}")
         joined = joined.withColumn(a, value)
-    return joined.drop(*[f"_{a}" for a in attributes])
+    return joined.drop("_spread", *[f"_{a}" for a in attributes])
 
 
 def events_per_type(events: DataFrame) -> DataFrame:

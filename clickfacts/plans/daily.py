@@ -38,20 +38,22 @@ def run(
     """Build and write the facts of the given days (all days by default); returns the stored tables.
 
     The cleaned page views are staged once, so the raw JSON is parsed and deduplicated a single time for all facts.
-    Each table replaces exactly the days it holds: a repeated run gives the same tables.
+    Each table replaces exactly the processed days: a repeated run gives the same tables.
     """
     configure(spark)
-    cleaned = clean.clean_page_views(raw.read_events(spark, raw_root, "page_view", dates))
+    wanted = set(dates) if dates is not None else None
+    cleaned = clean.clean_page_views(raw.read_events(spark, raw_root, "page_view", wanted))
     pv = staging.stage(
         cleaned.select(
             "date", "session_id", "user_id", "page_url", "page_type", "device_type", "country", "time_on_page_seconds"
         ),
         "page-views",
     )
+    days = tables.days_of(pv) if wanted is None else wanted
     out = {}
     for name, df in facts(pv).items():
         path = f"{out_root.rstrip('/')}/{name}"
-        tables.write_fact(df, path)
+        tables.write_fact(df, path, days)
         out[name] = tables.read_fact(spark, path)
     return out
 

@@ -85,7 +85,7 @@ QUALIFY row_number() OVER (PARTITION BY date, session_id, product_id
 """,
 )
 def _dedup_product_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = star.table(spark, sf_dir, "lineitem"), star.table(spark, sf_dir, "orders")
+    lines, orders = star.fact_table(spark, sf_dir, "lineitem"), star.table(spark, sf_dir, "orders")
     return clean.clean_product_views(star.raw_product_views(lines, orders)).select(
         day(), "session_id", "product_id", "user_id", "category", "price", "time_on_page_seconds"
     )
@@ -102,7 +102,7 @@ WHERE l_linenumber % 5 <> 4
 """,
 )
 def _dedup_cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = star.table(spark, sf_dir, "lineitem"), star.table(spark, sf_dir, "orders")
+    lines, orders = star.fact_table(spark, sf_dir, "lineitem"), star.table(spark, sf_dir, "orders")
     return clean.clean_cart_events(star.raw_cart_events(lines, orders)).select(
         day(), "session_id", "product_id", "action", "user_id"
     )

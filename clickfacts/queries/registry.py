@@ -44,19 +44,15 @@ def rounded(c: str, digits: int = 4, name: str | None = None) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.table(spark, sf_dir, "events")
+    return star.fact_table(spark, sf_dir, "events")
 
 
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_page_views(star.raw_page_views(events(spark, sf_dir)))
 
 
-def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.validate(star.raw_lines(events(spark, sf_dir)))
-
-
-# Raw zones are derived from the tables once per application and input folder and shared by the queries that scan
-# files; a zone is only reused while its success marker stands.
+# Raw zones and validated lines are derived from the tables once per application and input folder and shared by the
+# queries over them.
 _ZONES: dict[tuple[str, str, str], str] = {}
 
 
@@ -94,6 +90,17 @@ def view_zone(spark: SparkSession, sf_dir: str) -> str:
     return _zone(spark, sf_dir, "views", lambda root: raw.write_raw(views, root, F.col("date")))
 
 
+_CHECKED: dict[tuple[str, str], DataFrame] = {}
+
+
+def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as validated lines: parsed once, stored, and read by column."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CHECKED:
+        _CHECKED[key] = staging.stage(quality.validate(star.raw_lines(events(spark, sf_dir))), "checked-lines")
+    return _CHECKED[key]
+
+
 _INGESTS: dict[tuple[str, str], ingest.Ingest] = {}
 
 

@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Runtime settings that change results; everything else is left to the cluster's own configuration.
+# Runtime settings that change results.
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Duplicate keys in a JSON object: the last one wins instead of the line being rejected.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
+# Runtime settings that keep hot keys apart; sizes and partition counts are left to the cluster's configuration.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs another shuffle further up.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# The documented limit beyond which HotSpot no longer compiles a generated method: larger stages are better split up.
+CODEGEN_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on to an existing session."""
-    for key, value in RESULT_SETTINGS.items():
+    """Apply the settings the library relies on to an existing session."""
+    for key, value in {**RESULT_SETTINGS, **SKEW_SETTINGS, **CODEGEN_SETTINGS}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

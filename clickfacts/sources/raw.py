@@ -14,6 +14,8 @@ from clickfacts import schemas
 from clickfacts.functions import columns as C
 
 PARTITIONS = ("event_type", "year", "month", "day")
+# Compressed size from which the lines of one gzip file are worth a shuffle.
+LARGE_GZIP = 256 << 20
 _PARTITION_SCHEMA = [T.StructField(p, T.StringType()) for p in PARTITIONS]
 
 
@@ -111,15 +113,28 @@ def event_lines(lines: DataFrame, root: str, base: str) -> DataFrame:
 
 
 def read_lines(
-    spark: SparkSession, root: str, base: str | None = None, skip_corrupt_files: bool = False
+    spark: SparkSession,
+    root: str,
+    base: str | None = None,
+    skip_corrupt_files: bool = False,
+    large_gzip: int = LARGE_GZIP,
 ) -> DataFrame:
-    """Event lines of every file below ``root`` (gzip or plain by extension), with positions."""
+    """Event lines of every file below ``root`` (gzip or plain by extension), with positions.
+
+    A gzip file is read by one task however large it is. The lines of files above ``large_gzip`` bytes are spread
+    over the cluster once they have their positions, so that the work on them is shared; all others stay where they
+    were read.
+    """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
         .text(root)
     )
-    return with_positions(event_lines(lines, root, base or parent(root)))
+    base = base or parent(root)
+    size, path = F.col("_metadata.file_size"), F.col("_metadata.file_path")
+    large = (size > large_gzip) & F.endswith(path, F.lit(".gz"))
+    near, far = (with_positions(event_lines(lines.where(part), root, base)) for part in (~large, large))
+    return near.unionByName(far.hint("rebalance"))
 
 
 def list_files(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:
@@ -136,19 +151,25 @@ def _by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def write_raw(events: DataFrame, root: str, day: Column | None = None, mode: str = "append") -> None:
-    """Gzip JSON-lines below ``event_type=/year=/month=/day=``; the payload keeps its ``event_type``."""
+def _write_text(lines: DataFrame, root: str, order: Sequence[str] = ()) -> None:
+    out = _by_partition(lines, PARTITIONS).sortWithinPartitions(*PARTITIONS, *order).select("value", *PARTITIONS)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+
+
+def write_raw(events: DataFrame, root: str, day: Column | None = None) -> None:
+    """Gzip JSON-lines below ``event_type=/year=/month=/day=``; the payload keeps its ``event_type``.
+
+    Replaces the types and days that ``events`` holds, so a repeated delivery leaves one copy.
+    """
     on = F.try_to_timestamp(F.col("timestamp")) if day is None else day
     payload = F.to_json(F.struct(*[F.col(c) for c in events.columns]))
-    lines = events.select(payload.alias("value"), F.col("event_type"), *raw_partitions(on))
-    out = _by_partition(lines, PARTITIONS).sortWithinPartitions(*PARTITIONS)
-    out.write.mode(mode).partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+    _write_text(events.select(payload.alias("value"), F.col("event_type"), *raw_partitions(on)), root)
 
 
-def write_lines(lines: DataFrame, root: str, order: Sequence[str], mode: str = "append") -> None:
-    """Ready-made text lines into the raw layout, in the given order inside every file."""
-    out = _by_partition(lines, PARTITIONS).sortWithinPartitions(*PARTITIONS, *order)
-    out.select("value", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+def write_lines(lines: DataFrame, root: str, order: Sequence[str]) -> None:
+    """Ready-made text lines (``value``) into the raw layout, in the given order inside every file."""
+    _write_text(lines, root, order)
 
 
 def write_mixed(events: DataFrame, path: str, mode: str = "overwrite") -> None:

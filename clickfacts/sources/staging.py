@@ -37,3 +37,12 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     target = path or fresh_path(spark, name)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame in at least as many partitions as the cluster has cores.
+
+    Only an input that comes in fewer scan tasks than there are cores is shuffled; a large one is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickfacts.sources import staging
 from clickfacts.sources.raw import raw_partitions
 
 # Which raw event type a source event stands for, and the vocabularies of the records.
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table to derive records from, spread over all cores even where it is one small file."""
+    return staging.spread(table(spark, sf_dir, name))
+
+
 def _pick(values: tuple[str, ...], index: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.expr(index) + 1).cast("int"))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +13,25 @@ from pyspark.sql import types as T
 from clickfacts.operators.tables import new_rows
 
 
-def write_fact(df: DataFrame, path: str) -> None:
-    """Replace the days that ``df`` holds in a table partitioned by ``date``; other days stay."""
+def days_of(df: DataFrame) -> set[date]:
+    """Days in a frame; at most one row per calendar day reaches the driver."""
+    return {r.date for r in df.select("date").distinct().collect() if r.date is not None}
+
+
+def _stored_days(spark: SparkSession, path: str) -> set[date]:
+    try:
+        return days_of(spark.read.parquet(path))
+    except AnalysisException:
+        return set()
+
+
+def write_fact(df: DataFrame, path: str, days: Iterable[date] | None = None) -> None:
+    """Replace days of a table partitioned by ``date``; other days stay.
+
+    The days that ``df`` holds are replaced, and with ``days`` also those of them for which it has no row (any more).
+    """
+    spark = df.sparkSession
+    before = _stored_days(spark, path) & set(days) if days is not None else set()
     (
         df.hint("rebalance", F.col("date"))
         .write.mode("overwrite")
@@ -18,6 +39,10 @@ def write_fact(df: DataFrame, path: str) -> None:
         .partitionBy("date")
         .parquet(path)
     )
+    if before:
+        empty = spark.createDataFrame([], df.drop("date").schema)
+        for gone in sorted(before - days_of(df)):
+            empty.write.mode("overwrite").parquet(f"{path}/date={gone}")
 
 
 def read_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

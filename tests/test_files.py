@@ -132,6 +132,21 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     assert all(r.line_no > 0 for r in quality.number_lines(some, index).collect())
 
 
+def test_large_gzip_files_are_spread(spark, tmp_path):
+    text = [json.dumps({"n": i}) for i in range(5000)]
+    put(tmp_path, "raw/a.json.gz", text)
+    put(tmp_path, "raw/b.json.gz", text[:10])
+    put(tmp_path, "raw/c.json", text)
+    lines = raw.read_lines(spark, str(tmp_path / "raw"), large_gzip=1000)
+    staged = staging.stage(lines, "lines")
+    rows = quality.number_lines(staged, quality.blocks(staged)).collect()
+    for name, n in (("a.json.gz", 5000), ("b.json.gz", 10), ("c.json", 5000)):
+        got = {r.line: r.line_no for r in rows if r.path.endswith(name)}
+        assert got == {t: i + 1 for i, t in enumerate(text[:n])}
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan and "PartitionFilters" in plan
+
+
 def test_first_invalid_of_a_file_in_many_stretches(spark):
     rows = [("f", b * (40 << 30), b * 1000 + i, "x", "invalid") for b in range(8) for i in range(30)]
     df = spark.createDataFrame(rows, "path string, block long, pos long, line string, status string").repartition(5)
@@ -195,6 +210,12 @@ def test_daily_job_is_repeatable(spark, tmp_path):
     first = {n: sorted(map(str, df.collect())) for n, df in daily.run(spark, root, out).items()}
     again = {n: sorted(map(str, df.collect())) for n, df in daily.run(spark, root, out).items()}
     assert set(first) == set(daily.FACT_TABLES) and first == again
+    stale = [("s", "u", "t", 9.0, 1.0, "", date(2024, 1, d)) for d in (7, 8)]
+    names = ["session_id", "user_id", "anomaly_type", "z_score", "metric_value", "description", "date"]
+    has = {r.date.day for r in tables.read_fact(spark, f"{out}/anomalies").collect()}
+    assert not {7, 8} <= has
+    tables.write_fact(spark.createDataFrame(stale, names), f"{out}/anomalies")
+    daily.run(spark, root, out, [date(2024, 1, 8)])
     day = daily.run(spark, root, out, [date(2024, 1, 7)])
     assert {n: sorted(map(str, df.collect())) for n, df in day.items()} == first
 
