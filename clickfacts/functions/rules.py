@@ -7,6 +7,7 @@ field once whatever its type, and the rule table needs no join.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import lru_cache
 from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame
@@ -229,3 +230,12 @@ def record_fatal() -> Column:
             ~F.startswith(root, F.lit("OBJECT")) | (_is("event_type", "ARRAY", "OBJECT") & truthy("event_type"))
         )
     )
+
+
+@lru_cache(maxsize=2)
+def compiled(application_id: str) -> tuple[Column, Column]:
+    """``record_errors`` and ``record_fatal`` of an application, built once: many small expressions are slow to build.
+
+    They name columns without binding them, so every frame and micro-batch can use the same ones.
+    """
+    return record_errors(), record_fatal()

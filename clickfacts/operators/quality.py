@@ -27,8 +27,9 @@ def validate(lines: DataFrame, line: str = "line") -> DataFrame:
     """
     keep = lines.columns
     parsed = rules.with_value(lines.withColumn(line, C.strip(F.col(line))), line)
-    fatal = ~F.is_valid_utf8(F.col(line)) | rules.record_fatal()
-    judged = parsed.select(*keep, F.col(rules.KIND), fatal.alias("_fatal"), rules.record_errors().alias("_errors"))
+    found, fatal = rules.compiled(lines.sparkSession.sparkContext.applicationId)
+    fatal = ~F.is_valid_utf8(F.col(line)) | fatal
+    judged = parsed.select(*keep, F.col(rules.KIND), fatal.alias("_fatal"), found.alias("_errors"))
     status = F.when(F.col("_fatal"), FATAL).when(F.size("_errors") == 0, VALID).otherwise(INVALID)
     errors = F.when(F.col("_fatal"), F.array().cast(rules.ERRORS_TYPE)).otherwise(F.col("_errors"))
     outcome = F.struct(F.col(rules.KIND).alias("event_type"), status.alias("status"), errors.alias("errors"))

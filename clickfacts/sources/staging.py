@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local master without the setting."""
     configured = spark.conf.get(_SETTING, None)
@@ -21,9 +24,10 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="clickfacts-")
-    spark.conf.set(_SETTING, made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="clickfacts-")
+    return _LOCAL_ROOTS[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
