@@ -65,7 +65,7 @@ def _text(name: str) -> Column:
 
 def _type(name: str) -> Column:
     """JSON type name of a field, NULL when absent. Dearer than ``_text``; only evaluated for doubtful values."""
-    return F.schema_of_variant(F.try_variant_get(F.col(VALUE), f"$.{name}", "variant"))
+    return F.expr(f"schema_of_variant(try_variant_get({VALUE}, '$.{name}', 'variant'))")
 
 
 def merged_order(orders: Iterable[Iterable[str]]) -> list[str]:
@@ -91,16 +91,17 @@ def by_field(table: Mapping[str, Mapping[str, object]]) -> dict[str, dict[object
 
 def _is(name: str, *kinds: str) -> Column:
     """The field exists and its JSON type is one of ``kinds`` (STRING, ARRAY, OBJECT, ...)."""
-    return F.coalesce(_type(name).rlike(f"^({'|'.join(kinds)})"), F.lit(False))
+    kind = f"schema_of_variant(try_variant_get({VALUE}, '$.{name}', 'variant'))"
+    return F.expr(f"coalesce({kind} RLIKE '^({'|'.join(kinds)})', false)")
 
 
 def _kind_in(kinds: Iterable[str]) -> Column:
-    return F.col(KIND).isin(*kinds)
+    return F.expr(f"{KIND} IN ({', '.join(repr(k) for k in kinds)})")
 
 
 def _number(name: str) -> Column:
     """Float value the way a dynamic consumer converts it: numbers, booleans and numeric text."""
-    return F.try_variant_get(F.col(VALUE), f"$.{name}", "double")
+    return F.expr(f"try_variant_get({VALUE}, '$.{name}', 'double')")
 
 
 def _shown(name: str) -> Column:
@@ -115,10 +116,11 @@ def _type_shown(name: str) -> Column:
 
 def _error(when: Column, code: str, name: str | None, *message: Column | str) -> Column:
     """One-element error array where the condition holds, else an empty one."""
-    text = F.concat(*[m if isinstance(m, Column) else F.lit(m) for m in message])
-    entry = F.struct(F.lit(code).alias("code"), F.lit(name).cast("string").alias("field"), text.alias("message"))
-    empty = F.array().cast(ERRORS_TYPE)
-    return F.when(when, F.array(entry).cast(ERRORS_TYPE)).otherwise(empty)
+    text = message[0] if len(message) == 1 else F.concat(*[m if isinstance(m, Column) else F.lit(m) for m in message])
+    text = text if isinstance(text, Column) else F.lit(text)
+    field = F.expr(f"cast({'null' if name is None else repr(name)} as string)")
+    entry = F.struct(F.lit(code).alias("code"), field.alias("field"), text.alias("message"))
+    return F.when(when, F.array(entry)).otherwise(F.array())
 
 
 def required_checks() -> list[Column]:

@@ -185,3 +185,22 @@ def test_enrich(spark):
     got = {r.id: (r.country, r.device_type)
            for r in tables.enrich(events, users, "user_id", ["country", "device_type"]).collect()}
     assert got == {"e1": ("CO", "mobile"), "e2": ("AR", "tablet"), "e3": (None, None)}
+
+
+def test_enrich_by_shuffle_spreads_rows_without_key(spark):
+    events = spark.range(4000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('u', id % 50) end as user_id"
+    )
+    users = spark.createDataFrame([("hot", "CO", "mobile")] + [(f"u{i}", "MX", "tablet") for i in range(40)],
+                                  schemas.USER_CATALOG)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = tables.enrich(events, users, "user_id", ["country"])
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        got = {r.id: r.country for r in joined.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    want = {i: "CO" if i % 3 == 0 else "MX" if i % 3 == 1 and i % 50 < 40 else None for i in range(4000)}
+    assert got == want
