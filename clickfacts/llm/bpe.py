@@ -23,6 +23,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -379,7 +380,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows = part.column(part.schema.get_field_index(ids))
-                counts = pa.compute.fill_null(pa.compute.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+                counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
                 flat = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 yield appended(part, {"decoded": _binaries(*known.decode(flat, counts.astype(np.int64)))})
 

@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
     """Slices of the batches with about ``CHUNK_CHARS`` of text each, and their texts (null as empty)."""
     for batch in batches:
         index = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(index)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(index)), 0).to_pylist()
         start = total = 0
         for stop, size in enumerate(sizes, 1):
             total += size
