@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +19,21 @@ NON_WORD = r"[^\p{L}\p{N}]+"
 CHUNK_CHARS = 1 << 20
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application: they need not share the driver's files."""
+    context = spark.sparkContext
+    if not getattr(context, "_clickfacts_shipped", False):
+        root = Path(__file__).resolve().parents[2]
+        handle, path = tempfile.mkstemp(prefix="clickfacts-", suffix=".zip")
+        os.close(handle)
+        with zipfile.ZipFile(path, "w") as archive:
+            for module in sorted((root / "clickfacts").rglob("*.py")):
+                archive.write(module, module.relative_to(root))
+        context.addPyFile(path)
+        context._clickfacts_shipped = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

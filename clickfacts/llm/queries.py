@@ -8,21 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe
-from clickfacts.llm.common import table
+from clickfacts.llm import bpe, kdtree, pii
+from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: For tests and checks; a deployment passes its own secret to ``pii.pseudonymise``.
+PSEUDONYM_KEY = "check"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
     """Register a query under ``name``; without ``sql`` it is tested against a brute-force version instead."""
 
     def register(run: Runner) -> Runner:
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: run(ship(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql.strip()
         return run
@@ -41,3 +43,16 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op8_kdtree_shards")
+def kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in forty shards of nearly equal bytes."""
+    return kdtree.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query("op5_pseudonyms")
+def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms of the same format."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(documents, PSEUDONYM_KEY).withColumn("n_found", F.size("pii_spans").cast("long"))
