@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of letters and digits in lower case.
@@ -86,3 +86,21 @@ def appended(part: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBat
     """The rows of ``part`` with further columns; a column of the same name is replaced."""
     kept = {n: part.column(i) for i, n in enumerate(part.schema.names) if n not in columns}
     return pa.RecordBatch.from_pydict(kept | columns)
+
+
+def bounded_sample(df: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
+    """At most ``per_label`` rows of each non-null label: those whose keys have the smallest hashes.
+
+    Keys are ranked without the other columns, and every task keeps only ``per_label`` of them per label before the
+    shuffle; the rows are then fetched by the bounded set of keys.
+    """
+    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit("sample"), key), key)
+    chosen = (
+        df.where(F.col(label).isNotNull())
+        .select(key, label)
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= per_label)
+        .select(key, label)
+        .distinct()
+    )
+    return df.join(F.broadcast(chosen), [key, label], "left_semi")

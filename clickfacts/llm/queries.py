@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe, kdtree, pii
+from clickfacts.llm import bpe, crf, kdtree, nbsvm, pii
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {}
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: For tests and checks; a deployment passes its own secret to ``pii.pseudonymise``.
 PSEUDONYM_KEY = "check"
+QUALITY_THRESHOLD = 0.3
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
@@ -56,3 +57,26 @@ def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by pseudonyms of the same format."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(documents, PSEUDONYM_KEY).withColumn("n_found", F.size("pii_spans").cast("long"))
+
+
+def _remainder(n: int) -> Column:
+    """CRC-32 of the id as text, modulo ``n``: the folds of the classifiers."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op1_crf_language")
+def crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; every fourth one is held out from learning."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (_remainder(4) == 2).alias("held_out"))
+    field = crf.fit(documents.where(~F.col("held_out")))
+    return crf.label(documents.drop("lang"), field, spans=True, keep_text=False)
+
+
+@query("op7_nb_svm_quality")
+def nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; every fifth one is held out from learning."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", (_remainder(5) == 0).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = nbsvm.fit(documents.where(~F.col("held_out")).join(labels, "doc_id"))
+    scored = nbsvm.score(documents, model, keep_text=False)
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
