@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe, crf, kdtree, nbsvm, pii
+from clickfacts.llm import bpe, crf, kdtree, nbsvm, omh, pii
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = nbsvm.fit(documents.where(~F.col("held_out")).join(labels, "doc_id"))
     scored = nbsvm.score(documents, model, keep_text=False)
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
+@query("op2_order_minhash")
+def order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document; one document of each class is kept."""
+    return omh.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
