@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe, crf, kdtree, nbsvm, omh, pii
+from clickfacts.llm import bpe, crf, decontam, kdtree, nbsvm, omh, pii
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,10 @@ def nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document; one document of each class is kept."""
     return omh.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_simhash_windows")
+def simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of the benchmark, and where."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(documents, table(spark, sf_dir, "benchmark"))
