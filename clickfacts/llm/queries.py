@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe, crf, decontam, kdtree, nbsvm, omh, pii
+from clickfacts.llm import bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,9 @@ def simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark, and where."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.leaks(documents, table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_cap_filters")
+def cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-equal vectors of a label."""
+    return caps.duplicates(table(spark, sf_dir, "embeddings"))
