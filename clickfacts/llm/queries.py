@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii
+from clickfacts.llm import backoff, bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,43 @@ def simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of near-equal vectors of a label."""
     return caps.duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op3_stupid_backoff",
+    """
+    WITH w AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws
+      FROM documents
+    ),
+    p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    g AS (
+      SELECT doc_id, i, ws[i] AS w1,
+             CASE WHEN i > 1 THEN ws[i - 1] || ' ' || ws[i] END AS w2,
+             CASE WHEN i > 2 THEN ws[i - 2] || ' ' || ws[i - 1] || ' ' || ws[i] END AS w3,
+             CASE WHEN i > 1 THEN ws[i - 1] END AS c1,
+             CASE WHEN i > 2 THEN ws[i - 2] || ' ' || ws[i - 1] END AS c2
+      FROM p
+    ),
+    n AS (SELECT count(*) AS n FROM g),
+    n1 AS (SELECT w1 AS k, count(*) AS c FROM g GROUP BY 1),
+    n2 AS (SELECT w2 AS k, count(*) AS c FROM g WHERE w2 IS NOT NULL GROUP BY 1),
+    n3 AS (SELECT w3 AS k, count(*) AS c FROM g WHERE w3 IS NOT NULL GROUP BY 1),
+    s AS (
+      SELECT g.doc_id, count(*) AS n_words,
+             sum(CASE WHEN a3.c >= 2 THEN ln(a3.c / b2.c)
+                      WHEN a2.c >= 2 THEN ln(a2.c / b1.c) + CASE WHEN g.w3 IS NOT NULL THEN ln(0.4) ELSE 0 END
+                      ELSE ln(a1.c / n.n) + CASE WHEN g.w3 IS NOT NULL THEN 2 * ln(0.4)
+                                                 WHEN g.w2 IS NOT NULL THEN ln(0.4) ELSE 0 END END) AS total
+      FROM g CROSS JOIN n JOIN n1 a1 ON a1.k = g.w1
+      LEFT JOIN n2 a2 ON a2.k = g.w2 LEFT JOIN n3 a3 ON a3.k = g.w3
+      LEFT JOIN n1 b1 ON b1.k = g.c1 LEFT JOIN n2 b2 ON b2.k = g.c2
+      GROUP BY 1
+    )
+    SELECT d.doc_id, coalesce(s.n_words, 0)::BIGINT AS n_words, round(s.total / s.n_words, 6) AS score
+    FROM documents d LEFT JOIN s USING (doc_id)
+    """,
+)
+def stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean log score of every document under the n-gram counts of all documents."""
+    return backoff.score(table(spark, sf_dir, "documents"))
