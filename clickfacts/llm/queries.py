@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import backoff, bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii
+from clickfacts.llm import backoff, bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii, shards
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: For tests and checks; a deployment passes its own secret to ``pii.pseudonymise``.
 PSEUDONYM_KEY = "check"
 QUALITY_THRESHOLD = 0.3
+#: The id the byte-level vocabulary leaves free, and the key of the training order.
+END_OF_TEXT, ORDER_KEY = 50256, "epoch-1"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
@@ -139,3 +141,19 @@ def cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean log score of every document under the n-gram counts of all documents."""
     return backoff.score(table(spark, sf_dir, "documents"))
+
+
+@query("op4_training_order")
+def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token sequence of the documents, read back from the shards it was written to."""
+    path = shards.fresh_path(spark)
+    shards.materialise(table(spark, sf_dir, "documents"), path, BYTE_BPE, END_OF_TEXT, ORDER_KEY)
+    return shards.read(spark, path).select(
+        F.col("id").alias("doc_id"),
+        F.col("number").alias("sequence"),
+        "n_tokens",
+        "slot",
+        "shard",
+        F.col("begin").alias("byte_begin"),
+        F.sha2("record", 256).alias("record_sha256"),
+    )
