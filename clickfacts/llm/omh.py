@@ -326,3 +326,14 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce(F.coalesce("class_id", "id") == F.col("id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` without near duplicates: the one with the smallest key of each class.
+
+    Of rows that repeat a key one stays; rows without a key stay."""
+    kept = cut(duplicates(documents.select(key, text), key, text, threshold).where(F.col("kept") & F.col(key).isNotNull()).select(key))
+    single = documents.join(kept.distinct(), key, "left_semi").select(documents.columns)
+    if not kept.groupBy(key).count().where("count > 1").isEmpty():
+        single = single.dropDuplicates([key])
+    return single.union(documents.where(F.col(key).isNull()))
