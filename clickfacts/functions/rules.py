@@ -21,9 +21,15 @@ ERRORS_TYPE = "array<struct<code:string,field:string,message:string>>"
 # Fixed value: how the expected type is written in a type error.
 NUMBER_SHOWN = "(<class 'int'>, <class 'float'>)"
 # Text that converts to a float the way a JSON consumer would convert it.
-FLOAT_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
-# Extended ISO 8601: date, optional time to microseconds, optional zone.
-ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
+# Single underscores between digits separate groups of them.
+_DIGITS = r"\d(_?\d)*"
+FLOAT_TEXT = rf"(?i)^\s*[+-]?({_DIGITS}\.?({_DIGITS})?(e[+-]?{_DIGITS})?|\.{_DIGITS}(e[+-]?{_DIGITS})?|inf(inity)?|nan)\s*$"
+# ISO 8601 in extended and basic form: a calendar or week date, optional time with a point or comma before the
+# fraction, optional zone.
+ISO_TEXT = (
+    r"^(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-?W\d{2}(-?[1-7])?)"
+    r"([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?([+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
+)
 
 
 VALUE = "_value"
@@ -101,7 +107,25 @@ def _kind_in(kinds: Iterable[str]) -> Column:
 
 def _number(name: str) -> Column:
     """Float value the way a dynamic consumer converts it: numbers, booleans and numeric text."""
-    return F.expr(f"try_variant_get({VALUE}, '$.{name}', 'double')")
+    grouped = F.replace(_text(name), F.lit("_"), F.lit(""))
+    return F.coalesce(F.expr(f"try_variant_get({VALUE}, '$.{name}', 'double')"), grouped.try_cast("double"))
+
+
+def number_text(number: Column) -> Column:
+    """A double as a dynamic consumer prints it: digits up to sixteen places before the point, else an exponent."""
+    size, text = F.abs(number), number.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    mantissa = F.regexp_replace(F.split(text, "E")[0], r"\.0$", "")
+    exponent = F.try_element_at(F.split(text, "E"), F.lit(2)).try_cast("int")
+    power = F.concat(F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    power = F.when(F.abs(exponent) > 99, F.concat(F.when(exponent < 0, "e-").otherwise("e+"), F.abs(exponent).cast("string"))).otherwise(power)
+    return (
+        F.when((size >= 1e-4) & (size < 1e16) & ~((size >= 1e-3) & (size < 1e7)), plain)
+        .when(exponent.isNotNull(), F.concat(mantissa, power))
+        .when(size == float("inf"), F.when(number > 0, "inf").otherwise("-inf"))
+        .otherwise(text)
+    )
 
 
 def _shown(name: str) -> Column:
@@ -156,7 +180,7 @@ def range_checks() -> list[Column]:
             checks.append(
                 _error(
                     _kind_in(kinds) & outside, "RANGE", name,
-                    f"out of range {name}: ", number.cast("string"), f" not in [{low}, {high}]",
+                    f"out of range {name}: ", number_text(number), f" not in [{low}, {high}]",
                 )
             )
     return checks
@@ -178,10 +202,42 @@ def enum_checks() -> list[Column]:
     return checks
 
 
+def _real_date(iso: Column) -> Column:
+    """Whether the date part of an ISO text is a day: of its month, or of a week its year has."""
+    digits = F.regexp_replace(F.regexp_extract(iso, r"^(\d{4}-\d{2}-\d{2}|\d{8})", 1), "-", "")
+    week = r"^(\d{4})-?W(\d{2})"
+    year, number = (F.regexp_extract(iso, week, i).try_cast("int") for i in (1, 2))
+    # The 28th of December is in the last week of its year.
+    weeks = F.weekofyear(F.try_to_date(F.concat(F.regexp_extract(iso, week, 1), F.lit("1228")), "yyyyMMdd"))
+    by_week = (year > 0) & (number >= 1) & (number <= weeks)
+    by_day = F.try_to_date(digits, "yyyyMMdd").isNotNull() & ~F.startswith(digits, F.lit("0000"))
+    return F.when(iso.rlike(week), F.coalesce(by_week, F.lit(False))).otherwise(by_day)
+
+
+def _real_time(iso: Column) -> Column:
+    """Whether the time and zone of an ISO text, where given, are on the clock and of one form."""
+    time = F.regexp_extract(iso, r"[T ](\d.*)$", 1)
+    clock = F.regexp_extract(time, r"^([^+-]*)", 1)
+    zone = F.regexp_extract(time, r"([+-].*)$", 1)
+
+    def below(text: Column, pattern: str, end: int) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("int") < end, F.lit(True))
+
+    one_form = clock.rlike(r"^(\d{2}|\d{2}:\d{2}|\d{4}|\d{2}:\d{2}:\d{2}([.,]\d+)?|\d{6}([.,]\d+)?)?$")
+    return (
+        one_form
+        & below(clock, r"^(\d{2})", 24)
+        & below(clock, r"^\d{2}:?(\d{2})", 60)
+        & below(clock, r"^\d{2}:?\d{2}:?(\d{2})", 60)
+        & below(zone, r"^[+-](\d{2})", 24)
+        & below(zone, r"^[+-]\d{2}:?(\d{2})", 60)
+    )
+
+
 def timestamp_checks() -> list[Column]:
     text = _text("timestamp")
     zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    iso = zoned.rlike(ISO_TEXT) & F.try_to_timestamp(zoned).isNotNull()
+    iso = zoned.rlike(ISO_TEXT) & _real_date(zoned) & _real_time(zoned)
     bad = ~F.coalesce(iso, F.lit(False)) & F.coalesce(text != "", F.lit(False)) & _is("timestamp", "STRING")
     return [_error(bad, "TIMESTAMP", "timestamp", "invalid timestamp format: ", text)]
 

@@ -46,10 +46,14 @@ def dedup_page_views(parsed: DataFrame) -> DataFrame:
     return keep_one(parsed, PAGE_VIEW_KEY, ["time_on_page_seconds", "user_id"], largest=True)
 
 
+def unique_page_views(parsed: DataFrame) -> DataFrame:
+    """Parsed page views one per key, time within a day."""
+    return dedup_page_views(parsed).withColumn("time_on_page_seconds", C.impute_clamp(F.col("time_on_page_seconds")))
+
+
 def clean_page_views(raw: DataFrame) -> DataFrame:
     """Page views ready for the facts: typed, attributed, one per key, time within a day."""
-    seconds = C.impute_clamp(F.col("time_on_page_seconds"))
-    return dedup_page_views(parse_page_views(raw)).withColumn("time_on_page_seconds", seconds)
+    return unique_page_views(parse_page_views(raw))
 
 
 def clean_product_views(raw: DataFrame) -> DataFrame:

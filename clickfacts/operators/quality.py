@@ -6,13 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickfacts import schemas
 from clickfacts.functions import columns as C
 from clickfacts.functions import rules
 
-# Blocks of one file are ranked in stretches of this many bytes before the file as a whole is ranked.
-_STRETCH = 64 << 30
-
 VALID, INVALID, FATAL = "valid", "invalid", "fatal"
 
 
@@ -80,8 +76,7 @@ def number_lines(rows: DataFrame, block_index: DataFrame) -> DataFrame:
 def failed_files(checked: DataFrame, base: str = "/") -> DataFrame:
     """Files with at least one record that cannot be processed at all."""
     hit = checked.where(is_fatal()).groupBy("path").agg(F.count("*").alias("fatal_lines"))
-    key = C.object_key(F.col("path"), base)
-    return hit.select("path", F.substring(key, 1, schemas.FAILURE_KEY_CHARS).alias("failure_key"), "fatal_lines")
+    return hit.select("path", C.object_key(F.col("path"), base).alias("failure_key"), "fatal_lines")
 
 
 def file_summary(checked: DataFrame, base: str = "/", files: DataFrame | None = None) -> DataFrame:
@@ -118,55 +113,62 @@ def file_summary(checked: DataFrame, base: str = "/", files: DataFrame | None =
     )
 
 
-def first_invalid(checked: DataFrame, cap: int = schemas.QUARANTINE_CAP) -> DataFrame:
-    """The first ``cap`` invalid records of every file, by position.
+def first_invalid(checked: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` invalid records of every file, by position; every task keeps at most ``n`` before the shuffle."""
+    whole = W.partitionBy("path").orderBy("block", "pos")
+    ranked = checked.where(is_invalid()).withColumn("rank", F.row_number().over(whole))
+    return ranked.where(F.col("rank") <= n)
+
+
+def quarantine_records(checked: DataFrame, n: int | None = None) -> DataFrame:
+    """Invalid records of every file that did not fail: line number, event or whole raw line, errors.
 
-    Every task keeps at most ``cap`` rows per group before the shuffle; a huge file is ranked per stretch of blocks
-    first, so no group grows with the file.
+    All of them, or with ``n`` the first of every file.
     """
-    bad = checked.where(is_invalid())
-    stretch = F.floor(F.col("block") / _STRETCH)
-    order = ("block", "pos")
-    near = W.partitionBy("path", stretch).orderBy(*order)
-    whole = W.partitionBy("path").orderBy(*order)
-    bad = bad.withColumn("_near", F.row_number().over(near)).where(F.col("_near") <= cap)
-    return bad.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= cap).drop("_near")
-
-
-def quarantine_records(checked: DataFrame, cap: int = schemas.QUARANTINE_CAP) -> DataFrame:
-    """Reported records of every file that did not fail: line number, event or raw excerpt, errors."""
-    kept = first_invalid(checked, cap).join(failed_files(checked).select("path"), "path", "left_anti")
+    bad = checked.where(is_invalid()) if n is None else first_invalid(checked, n)
+    kept = bad.join(failed_files(checked).select("path"), "path", "left_anti")
     numbered = number_lines(kept, blocks(checked))
     broken = F.exists("errors", lambda e: e["code"] == "INVALID_JSON")
     return numbered.select(
         "path",
         "line_no",
         F.when(~broken, F.col("line")).alias("event"),
-        F.when(broken, F.substring("line", 1, schemas.RAW_EXCERPT_CHARS)).alias("raw"),
+        F.when(broken, F.col("line")).alias("raw"),
         "errors",
     )
 
 
-def quarantine(
-    checked: DataFrame, now: Column, base: str = "/", cap: int = schemas.QUARANTINE_CAP
-) -> DataFrame:
-    """One report per file with invalid records: counts and at most ``cap`` records in line order."""
-    records = (
-        quarantine_records(checked, cap)
-        .groupBy("path")
-        .agg(F.sort_array(F.collect_list(F.struct("line_no", "event", "raw", "errors"))).alias("invalid_events"))
+def quarantine_table(checked: DataFrame, base: str = "/") -> DataFrame:
+    """Every invalid record, one row each, with the event type and day its file's key names."""
+    key = C.object_key(F.col("path"), base)
+    return quarantine_records(checked).select(
+        "*", C.path_event_type(key).alias("event_type"), C.path_date(key).alias("date")
     )
-    summary = file_summary(checked, base).where(F.col("invalid") > 0)
-    return summary.join(records, "path").select(
+
+
+def quarantine(checked: DataFrame, now: Column, base: str = "/", n: int | None = None) -> DataFrame:
+    """One report per file with invalid records: counts, and with ``n`` its first records in line order.
+
+    The records themselves are in ``quarantine_table``, whatever their number.
+    """
+    report = file_summary(checked, base).where(F.col("invalid") > 0)
+    columns = [
         C.quarantine_key(F.col("key"), now).alias("quarantine_key"),
         F.col("key").alias("original_key"),
-        "event_type",
+        F.col("event_type"),
         F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("processed_at"),
         F.col("total").alias("total_records"),
         F.col("invalid").alias("invalid_count"),
-        "error_rate_pct",
-        "invalid_events",
+        F.col("error_rate_pct"),
+    ]
+    if n is None:
+        return report.select(*columns)
+    records = (
+        quarantine_records(checked, n)
+        .groupBy("path")
+        .agg(F.sort_array(F.collect_list(F.struct("line_no", "event", "raw", "errors"))).alias("invalid_events"))
     )
+    return report.join(records, "path").select(*columns, "invalid_events")
 
 
 def ingest_metrics(summary: DataFrame, failures: DataFrame, now: Column) -> DataFrame:

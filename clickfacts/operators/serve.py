@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from clickfacts import schemas
 from clickfacts.functions import columns as C
 
-# Accepted metrics and their columns, limits, default day of the lenient form.
+# Accepted metrics and their columns, default limits, default day of the lenient form.
 METRICS = {"bounce_rate": "bounce_rate", "time_on_page": "avg_time_on_page"}
 DEFAULT_LIMIT = 10
 MAX_LIMIT = 100
@@ -44,13 +44,13 @@ def on_date(df: DataFrame, day: str, strict: bool) -> DataFrame:
     return df.where(F.col("date") == F.lit(parsed.date()))
 
 
-def _checked_limit(limit: int | str) -> int:
+def _checked_limit(limit: int | str, most: int) -> int:
     try:
         n = int(limit)
     except (TypeError, ValueError):
         n = 0
-    if not 1 <= n <= MAX_LIMIT:
-        raise ValueError(f"limit must be an integer between 1 and {MAX_LIMIT}")
+    if not 1 <= n <= most:
+        raise ValueError(f"limit must be an integer between 1 and {most}")
     return n
 
 
@@ -60,12 +60,16 @@ def pages_top(
     date: str | None = None,
     limit: int | str = DEFAULT_LIMIT,
     strict: bool = True,
+    most: int = MAX_LIMIT,
 ) -> DataFrame:
-    """The ``limit`` pages of a day with the highest bounce rate or mean time."""
+    """The ``limit`` pages of a day with the highest bounce rate or mean time.
+
+    ``strict`` refuses a limit above ``most``; a caller that wants longer reports passes a larger one.
+    """
     if strict:
         if metric not in METRICS:
             raise ValueError(f"metric must be one of {', '.join(METRICS)}")
-        column, n = METRICS[metric], _checked_limit(limit)
+        column, n = METRICS[metric], _checked_limit(limit, most)
     else:
         column = METRICS["bounce_rate" if metric in (None, "bounce_rate") else "time_on_page"]
         n, date = int(limit), DEFAULT_DATE if date is None else date
@@ -73,7 +77,7 @@ def pages_top(
     top = on_date(page_metrics, date, strict).orderBy(*order).limit(n)
     if not strict:
         return top.select("date", "page_url", "page_type", "avg_time_on_page", "bounce_rate", "total_sessions")
-    # At most MAX_LIMIT rows reach this window.
+    # Only the ``n`` rows of the report reach this window.
     rank = F.row_number().over(W.partitionBy("date").orderBy(*order))
     return top.select(
         rank.cast("bigint").alias("rank"),

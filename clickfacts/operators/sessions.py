@@ -45,10 +45,10 @@ def time_stats(st: DataFrame, value: str = "total_time") -> DataFrame:
 def _outliers(
     st: DataFrame, value: str, kind: str, text: tuple[str, str], z: float, k: float | None
 ) -> DataFrame:
-    # Dropped up front, not by the join: both uses of the totals then share one shuffle.
-    st = st.na.drop(subset=["date"])
-    # One row per calendar day: a DATE has at most 3.7 million values, so the statistics always fit a broadcast.
-    scored = st.join(F.broadcast(time_stats(st, value)), "date").withColumn(
+    # One row of statistics per day; the measured size decides how they are joined. Sessions without a date are
+    # compared among themselves.
+    stats = time_stats(st, value).withColumnRenamed("date", "_day")
+    scored = st.join(stats, F.col("date").eqNullSafe(F.col("_day"))).withColumn(
         "z_score", F.abs((F.col(value) - F.col("mean_time")) / F.col("stddev_time"))
     )
     hit: Column = F.col("z_score") >= z
@@ -91,10 +91,23 @@ def anomaly_table(anomalies: DataFrame) -> DataFrame:
 
 def session_summary(pv: DataFrame) -> DataFrame:
     """Sessions, mean session minutes, views and users per day, country and device."""
-    by = ("date", "country", "device_type")
-    return pv.groupBy(*by).agg(
-        F.countDistinct("session_id").alias("total_sessions"),
-        (F.sum("time_on_page_seconds") / 60.0 / F.countDistinct("session_id")).alias("avg_session_duration"),
-        F.count("*").alias("total_pageviews"),
-        F.countDistinct("user_id").alias("unique_users"),
+    by = ["date", "country", "device_type"]
+    visits = pv.groupBy(*by, "session_id", "user_id").agg(
+        F.sum("time_on_page_seconds").alias("seconds"), F.count("*").alias("views")
+    )
+    # Sessions and users are counted level by level, without a copy of every row per distinct count.
+    per_session = visits.groupBy(*by, "session_id").agg(F.sum("seconds").alias("seconds"), F.sum("views").alias("views"))
+    sessions = per_session.groupBy(*by).agg(
+        F.count("session_id").alias("total_sessions"), F.sum("seconds").alias("seconds"), F.sum("views").alias("total_pageviews")
+    )
+    users = visits.groupBy(*by, "user_id").agg(F.lit(1).alias("one")).groupBy(*by).agg(F.count("user_id").alias("unique_users"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"u.{c}"))
+    return sessions.alias("s").join(users.alias("u"), same).select(
+        *[F.col(f"s.{c}") for c in by],
+        "total_sessions",
+        (F.col("seconds") / 60.0 / F.col("total_sessions")).alias("avg_session_duration"),
+        "total_pageviews",
+        "unique_users",
     )

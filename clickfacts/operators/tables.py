@@ -12,10 +12,18 @@ from clickfacts.operators.clean import keep_one
 _SPREAD = 1 << 16
 
 
+def lacking(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Incoming rows whose key the target lacks; NULL equals NULL."""
+    known = target.select(*[F.col(c).alias(f"_{c}") for c in key])
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return incoming.join(known, same, "left_anti")
+
+
 def new_rows(target: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Incoming rows whose key the target lacks; of several with one key the first by ``order``."""
-    first = keep_one(incoming, key, order)
-    return first.join(target.select(*key), list(key), "left_anti").select(*target.columns)
+    return lacking(keep_one(incoming, key, order), target, key).select(*target.columns)
 
 
 def insert_or_ignore(

@@ -8,9 +8,10 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickfacts.functions import columns as C
 from clickfacts.operators import quality
 from clickfacts.session import configure
-from clickfacts.sources import raw, staging
+from clickfacts.sources import raw, staging, tables
 
 
 @dataclass(frozen=True)
@@ -32,8 +33,18 @@ class Ingest:
 
     @property
     def reports(self) -> DataFrame:
+        """One report per file with invalid records; the records are in ``quarantine``."""
         return quality.quarantine(self.checked, F.lit(self.now), self.base)
 
+    def first_reports(self, n: int) -> DataFrame:
+        """Reports that also hold the first ``n`` invalid records of their file."""
+        return quality.quarantine(self.checked, F.lit(self.now), self.base, n)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """Every invalid record of the files that did not fail."""
+        return quality.quarantine_table(self.checked, self.base)
+
     @property
     def metrics(self) -> DataFrame:
         return quality.ingest_metrics(self.summary, self.failures, F.lit(self.now))
@@ -43,6 +54,26 @@ class Ingest:
         """Lines of valid records; the opt-in clean feed."""
         return quality.split_valid(self.checked)[0].select("path", "event_type", "line")
 
+    def write_feed(self, root: str) -> None:
+        """The valid records of files that did not fail as a raw zone, below the day of the file they came from."""
+        kept = quality.split_valid(self.checked)[0].join(self.failures.select("path"), "path", "left_anti")
+        day = C.path_date(C.object_key(F.col("path"), self.base))
+        lines = kept.select("path", "block", "pos", F.col("line").alias("value"), "event_type", *raw.raw_partitions(day))
+        raw.write_lines(lines, root, ["path", "block", "pos"])
+
+    def write(self, out: str) -> None:
+        """All outputs below ``out``: summary, failures, reports, quarantined records, metrics and the gated feed.
+
+        A repeated run over the same files replaces all but the metrics, which are a log and are appended.
+        """
+        out = out.rstrip("/")
+        self.summary.write.mode("overwrite").parquet(f"{out}/file_summary")
+        self.failures.write.mode("overwrite").parquet(f"{out}/failures")
+        tables.write_reports(self.reports, f"{out}/reports", "overwrite")
+        self.quarantine.write.mode("overwrite").partitionBy("event_type", "date").parquet(f"{out}/quarantine")
+        tables.append_table(self.metrics, f"{out}/metrics")
+        self.write_feed(f"{out}/feed")
+
 
 def run(
     spark: SparkSession,
@@ -51,14 +82,19 @@ def run(
     now: datetime | None = None,
     checked_path: str | None = None,
     with_empty_files: bool = False,
+    out: str | None = None,
+    spread: bool = False,
 ) -> Ingest:
-    """Validate every line below ``root`` once and stage the outcome.
+    """Validate every line below ``root`` once, stage the outcome, and with ``out`` write all outputs below it.
 
     The text is read and parsed in a single pass; line positions are stored with the rows, so all reports agree on
     them, and every report reads only the columns it needs from the staged table.
     """
     configure(spark)
     base = raw.parent(root) if base is None else base
-    checked = staging.stage(quality.validate(raw.read_lines(spark, root, base)), "checked", checked_path)
+    checked = staging.stage(quality.validate(raw.read_lines(spark, root, base, spread=spread)), "checked", checked_path)
     files = raw.list_files(spark, root, base) if with_empty_files else None
-    return Ingest(checked, base, now or datetime.now(UTC), files)
+    done = Ingest(checked, base, now or datetime.now(UTC), files)
+    if out:
+        done.write(out)
+    return done

@@ -165,7 +165,7 @@ SELECT event_type, date, event_id, line_no FROM ranked WHERE codes <> '' AND nth
 def _quarantine_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported records of files of a week, which hold more invalid records than a report does."""
     done = ingested(spark, sf_dir, weekly_zone)
-    records = quality.quarantine_records(done.checked)
+    records = quality.quarantine_records(done.checked, 100)
     key = C.object_key(F.col("path"), done.base)
     return records.select(
         C.path_event_type(key).alias("event_type"),
@@ -175,6 +175,30 @@ def _quarantine_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("date", day())
 
 
+@query(
+    "quarantine_records",
+    S.LINES + """,
+ranked AS (
+  SELECT kind AS event_type, strftime(date_trunc('week', ts), '%Y-%m-%d') AS date, event_id, codes,
+         row_number() OVER (PARTITION BY kind, date_trunc('week', ts) ORDER BY event_id) AS line_no,
+         bool_or(fatal) OVER (PARTITION BY kind, date_trunc('week', ts)) AS failed
+  FROM lines
+)
+SELECT event_type, date, event_id, line_no, codes FROM ranked WHERE codes <> '' AND NOT failed
+""",
+)
+def _quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invalid record of the weekly files, with its whole line and errors."""
+    table = ingested(spark, sf_dir, weekly_zone).quarantine
+    return table.select(
+        "event_type",
+        "date",
+        _line_id(F.coalesce("event", "raw")).alias("event_id"),
+        "line_no",
+        _codes().alias("codes"),
+    ).withColumn("date", day())
+
+
 @query(
     "quarantine_report",
     S.FILES + """,
@@ -197,7 +221,7 @@ FROM files JOIN kept USING (event_type, date) WHERE NOT failed AND invalid > 0
 """,
 )
 def _quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = ingested(spark, sf_dir).reports.withColumnRenamed("original_key", "key")
+    report = ingested(spark, sf_dir).first_reports(100).withColumnRenamed("original_key", "key")
     lines = F.transform("invalid_events", lambda r: r["line_no"])
     per_record = F.transform("invalid_events", lambda r: F.size(r["errors"]).cast("bigint"))
     return report.select(

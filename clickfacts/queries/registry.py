@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickfacts.operators import clean, quality
 from clickfacts.plans import ingest
 from clickfacts.session import configure
-from clickfacts.sources import raw, staging, star
+from clickfacts.sources import raw, staging, star, tables
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -51,13 +51,20 @@ def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_page_views(star.raw_page_views(events(spark, sf_dir)))
 
 
-# Raw zones and validated lines are derived from the tables once per application and input folder and shared by the
-# queries over them.
-_ZONES: dict[tuple[str, str, str], str] = {}
+# Raw zones, stored facts and validated lines are derived from the tables once per application, input folder and state
+# of its files, and shared by the queries over them.
+_ZONES: dict[tuple[str, str, str, int, int], str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Size and time of the input, so that changed files are derived from again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()
 
 
 def _zone(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name, *_state(spark, sf_dir))
     if key not in _ZONES:
         root = f"{staging.fresh_path(spark, name)}/raw"
         write(root)
@@ -90,12 +97,19 @@ def view_zone(spark: SparkSession, sf_dir: str) -> str:
     return _zone(spark, sf_dir, "views", lambda root: raw.write_raw(views, root, F.col("date")))
 
 
-_CHECKED: dict[tuple[str, str], DataFrame] = {}
+def stored_fact(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A fact over the page views as a table partitioned by day, written once and read back."""
+    df = build(page_views(spark, sf_dir))
+    path = _zone(spark, sf_dir, name, lambda root: tables.write_fact(df, root))
+    return tables.read_fact(spark, path, df.schema)
+
+
+_CHECKED: dict[tuple[str, str, int, int], DataFrame] = {}
 
 
 def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as validated lines: parsed once, stored, and read by column."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, *_state(spark, sf_dir))
     if key not in _CHECKED:
         _CHECKED[key] = staging.stage(quality.validate(star.raw_lines(events(spark, sf_dir))), "checked-lines")
     return _CHECKED[key]

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.operators import pages, serve, sessions, tables
+from clickfacts.operators import pages, serve, sessions
 from clickfacts.queries import sql as S
-from clickfacts.queries.registry import day, page_views, query, rounded
+from clickfacts.queries.registry import day, query, rounded, stored_fact
 from clickfacts.schemas import PAGE_METRICS_KEY
+from clickfacts.sources import staging
+from clickfacts.sources import tables as writes
 
 # The reported day, country and device of the registered queries.
 DAY = "2024-01-15"
@@ -17,15 +19,18 @@ DEVICE = "Mobile"
 
 
 def _page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_metrics(page_views(spark, sf_dir))
+    return stored_fact(spark, sf_dir, "page_metrics", pages.page_metrics)
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_summary(page_views(spark, sf_dir))
+    return stored_fact(spark, sf_dir, "session_summary", sessions.session_summary)
 
 
 def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.anomaly_table(sessions.session_anomalies(sessions.session_time(page_views(spark, sf_dir))))
+    def build(pv: DataFrame) -> DataFrame:
+        return sessions.anomaly_table(sessions.session_anomalies(sessions.session_time(pv)))
+
+    return stored_fact(spark, sf_dir, "anomalies", build)
 
 
 def _top_sql(order: str, limit: int) -> str:
@@ -158,12 +163,15 @@ FROM page_metrics
 """,
 )
 def _insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days arrive twice at a table that holds the days up to ``DAY``; stored and first rows win."""
+    """All days arrive twice at a stored table that holds the days up to ``DAY``; stored and first rows win."""
     metrics = _page_metrics(spark, sf_dir)
     stored = metrics.where(F.col("date") <= F.lit(DAY).cast("date"))
     again = F.explode(F.array(F.lit(1000), F.lit(2000)))
     arriving = metrics.withColumn("plus", again).withColumn("total_sessions", F.col("total_sessions") + F.col("plus"))
-    merged = tables.insert_or_ignore(stored, arriving, PAGE_METRICS_KEY, ["plus"])
+    path = staging.fresh_path(spark, "insert")
+    writes.write_fact(stored, path)
+    writes.append_new(arriving, path, PAGE_METRICS_KEY, ["plus"], ["plus"])
+    merged = writes.read_fact(spark, path, metrics.schema)
     return merged.select(
         day(), "page_url", "page_type", rounded("avg_time_on_page"), "bounce_rate", "total_sessions"
     )

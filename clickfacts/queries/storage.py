@@ -14,6 +14,7 @@ from clickfacts.queries import sql as S
 from clickfacts.queries.registry import (
     day,
     events,
+    ingested,
     line_zone,
     query,
     rounded,
@@ -25,6 +26,7 @@ from clickfacts.streaming import ingest as stream_ingest
 from clickfacts.streaming import pageviews
 
 SCAN_DAY = date(2024, 1, 10)
+FILES_PER_BATCH = 12
 
 _KIND = """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'click' WHEN 'signup' THEN 'search'
               WHEN 'purchase' THEN 'product_view' ELSE 'cart_event' END"""
@@ -175,6 +177,11 @@ def _catalog_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = typed_zone(spark, sf_dir)
+    return clean.union_events(*[raw.read_events(spark, root, kind) for kind in star.KINDS.values()])
+
+
 def _present(frame: DataFrame) -> list[str]:
     return [c for c in ("event_type", "user_id", "session_id", "product_id", "category", "price") if c in frame.columns]
 
@@ -190,7 +197,8 @@ FROM events GROUP BY ALL
 """,
 )
 def _all_events_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = clean.union_events(*star.typed_events(events(spark, sf_dir)).values())
+    """The typed frames of the raw zone as one; each reads the files of its own type only."""
+    every = _stored_types(spark, sf_dir)
     return every.groupBy("event_type", "date").agg(
         F.count("*").alias("events"),
         F.count("page_url").alias("with_page"),
@@ -201,7 +209,7 @@ def _all_events_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("events_per_type", f"SELECT {_KIND} AS event_type, count(*) AS events FROM events GROUP BY ALL")
 def _events_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.events_per_type(clean.union_events(*star.typed_events(events(spark, sf_dir)).values()))
+    return tables.events_per_type(_stored_types(spark, sf_dir))
 
 
 @query(
@@ -222,7 +230,8 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _view_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.parse_page_views(raw.stream_events(spark, view_zone(spark, sf_dir), "page_view"))
+    """The files of the view zone in several micro-batches, their days in no order."""
+    return clean.parse_page_views(raw.stream_events(spark, view_zone(spark, sf_dir), "page_view", FILES_PER_BATCH))
 
 
 @query(
@@ -231,29 +240,55 @@ def _view_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = staging.fresh_path(spark, "stream-dedup")
-    unique = pageviews.dedup_stream(_view_stream(spark, sf_dir), clean.PAGE_VIEW_KEY)
-    pageviews.start_append(unique.select(*clean.PAGE_VIEW_KEY), out, f"{out}-state").awaitTermination()
+    pageviews.start_views(_view_stream(spark, sf_dir), out, f"{out}-state").awaitTermination()
     views = spark.read.parquet(out).groupBy("date", "session_id", "page_url").agg(F.count("*").alias("views"))
     return views.withColumn("date", day())
 
 
 @query(
     "stream_page_stats",
-    """
-WITH v AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(ts AS DATE) AS d,
-         '/p/' || regexp_extract(props, '"k": *([0-9]+)', 1) AS page_url,
-         CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) AS seconds
-  FROM events WHERE event_type = 'view'
-)
-SELECT date, page_url, round(avg(seconds), 4) AS avg_time_on_page_seconds, count(*) AS total_views
-FROM v WHERE d + 2 <= (SELECT max(d) FROM v) GROUP BY date, page_url
+    S.PAGE_STATS + """
+SELECT date, page_url, page_type, round(avg_time_on_page_seconds, 4) AS avg_time_on_page_seconds, total_views,
+       unique_sessions
+FROM page_stats
 """,
 )
 def _stream_page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days closed by the watermark, one day behind the latest event."""
+    """Statistics of all days, kept up to date over several micro-batches."""
     out = staging.fresh_path(spark, "stream-stats")
-    views = clean.parse_page_views(raw.stream_events(spark, typed_zone(spark, sf_dir), "page_view"))
-    stats = pageviews.daily_page_stats(views)
-    pageviews.start_append(stats, out, f"{out}-state").awaitTermination()
-    return spark.read.parquet(out).select(day(), "page_url", rounded("avg_time_on_page_seconds"), "total_views")
+    views = _view_stream(spark, sf_dir)
+    pageviews.start_page_stats(views, f"{out}-views", out, f"{out}-state").awaitTermination()
+    return spark.read.parquet(out).select(
+        day(), "page_url", "page_type", rounded("avg_time_on_page_seconds"), "total_views", "unique_sessions"
+    )
+
+
+@query(
+    "gated_feed",
+    S.FILES + "SELECT event_type, date, valid AS events FROM files WHERE NOT failed AND valid > 0",
+)
+def _gated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records of files that did not fail, written as a raw zone and read back by type."""
+    root = f"{staging.fresh_path(spark, 'gated')}/feed"
+    ingested(spark, sf_dir).write_feed(root)
+    back = clean.union_events(*[raw.read_events(spark, root, kind) for kind in star.KINDS.values()])
+    return back.groupBy("event_type", "date").agg(F.count("*").alias("events")).withColumn("date", day())
+
+
+@query(
+    "feeds_roundtrip",
+    f"""
+SELECT CASE {_KIND} WHEN 'product_view' THEN 'product_views' ELSE 'cart_events' END AS feed,
+       strftime(ts, '%Y-%m-%d') AS date,
+       count(DISTINCT (user_id, regexp_extract(props, '"k": *([0-9]+)', 1), ts)) AS events
+FROM events WHERE {_KIND} IN ('product_view', 'cart_event') GROUP BY ALL
+""",
+)
+def _feeds_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned product views and cart events as the daily run stores them."""
+    stored = daily.run(spark, typed_zone(spark, sf_dir), staging.fresh_path(spark, "feeds"))
+    counts = [
+        stored[name].groupBy("date").agg(F.count("*").alias("events")).select(F.lit(name).alias("feed"), day(), "events")
+        for name in daily.FEED_TABLES.values()
+    ]
+    return clean.union_events(*counts)

@@ -43,9 +43,6 @@ ALLOWED_VALUES = {
 EVENT_TYPES = ("page_view", "click", "search", "product_view", "cart_event")
 DEVICES = ("mobile", "desktop", "tablet")
 CART_ACTIONS = ("add", "remove")
-QUARANTINE_CAP = 100
-RAW_EXCERPT_CHARS = 200
-FAILURE_KEY_CHARS = 256
 NON_EVENT_PREFIXES = ("quarantine/", "reference/")
 # --- end of fixed values ----------------------------------------------------------------------
 

@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.clickfacts.tasks", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

@@ -14,8 +14,6 @@ from clickfacts import schemas
 from clickfacts.functions import columns as C
 
 PARTITIONS = ("event_type", "year", "month", "day")
-# Compressed size from which the lines of one gzip file are worth a shuffle.
-LARGE_GZIP = 256 << 20
 _PARTITION_SCHEMA = [T.StructField(p, T.StringType()) for p in PARTITIONS]
 
 
@@ -117,24 +115,20 @@ def read_lines(
     root: str,
     base: str | None = None,
     skip_corrupt_files: bool = False,
-    large_gzip: int = LARGE_GZIP,
+    spread: bool = False,
 ) -> DataFrame:
     """Event lines of every file below ``root`` (gzip or plain by extension), with positions.
 
-    A gzip file is read by one task however large it is. The lines of files above ``large_gzip`` bytes are spread
-    over the cluster once they have their positions, so that the work on them is shared; all others stay where they
-    were read.
+    A gzip file is read by one task however large it is. With ``spread`` all lines are dealt over the cluster once
+    they have their positions, so that the work on large files is shared.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
         .text(root)
     )
-    base = base or parent(root)
-    size, path = F.col("_metadata.file_size"), F.col("_metadata.file_path")
-    large = (size > large_gzip) & F.endswith(path, F.lit(".gz"))
-    near, far = (with_positions(event_lines(lines.where(part), root, base)) for part in (~large, large))
-    return near.unionByName(far.hint("rebalance"))
+    placed = with_positions(event_lines(lines, root, base or parent(root)))
+    return placed.hint("rebalance") if spread else placed
 
 
 def list_files(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:

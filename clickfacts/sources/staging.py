@@ -6,6 +6,7 @@ there, and a lost executor costs a re-read instead of a re-computation.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,11 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local master without the setting."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where one process is the whole cluster."""
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_SETTING} to a folder all executors share")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_ROOTS:
@@ -43,10 +44,7 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The frame in at least as many partitions as the cluster has cores.
-
-    Only an input that comes in fewer scan tasks than there are cores is shuffled; a large one is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that is not needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

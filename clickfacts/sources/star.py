@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.sources import staging
 from clickfacts.sources.raw import raw_partitions
 
 # Which raw event type a source event stands for, and the vocabularies of the records.
@@ -31,8 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table to derive records from, spread over all cores even where it is one small file."""
-    return staging.spread(table(spark, sf_dir, name))
+    """A table to derive records from; dealt over ``spark.clickfacts.tasks`` tasks where that is set.
+
+    Tables that are one small file are read by one task otherwise.
+    """
+    df, tasks = table(spark, sf_dir, name), spark.conf.get("spark.clickfacts.tasks", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def _pick(values: tuple[str, ...], index: str) -> Column:

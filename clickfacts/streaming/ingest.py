@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from clickfacts.operators import quality
 from clickfacts.plans.ingest import Ingest
 from clickfacts.session import configure
-from clickfacts.sources import raw
+from clickfacts.sources import raw, staging
 
-TABLES = ("file_summary", "failures", "quarantine", "metrics")
+TABLES = ("file_summary", "failures", "reports", "quarantine", "metrics")
 
 
 def line_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
@@ -45,11 +45,13 @@ def start_ingest(
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         target = f"{out}/checked/batch_id={batch_id}"
-        quality.validate(raw.with_positions(batch)).write.mode("overwrite").parquet(target)
-        checked = session.read.parquet(target)
+        checked = staging.stage(quality.validate(raw.with_positions(batch)), "checked", target)
         done = Ingest(checked, base, now or datetime.now(UTC))
-        for name, df in zip(TABLES, (done.summary, done.failures, done.reports, done.metrics), strict=True):
+        outputs = (done.summary, done.failures, done.reports, done.quarantine, done.metrics)
+        for name, df in zip(TABLES, outputs, strict=True):
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        # All reports are written; a replay would validate the batch again.
+        staging.discard(session, target)
 
     lines = raw.event_lines(line_stream(spark, root, files_per_batch), root, base)
     writer = lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

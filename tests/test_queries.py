@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from clickfacts.queries import registry
 from tests import oracle
 
 SMALL = "/root/testdata/sf0.001"
@@ -14,14 +15,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.ORACLES) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SMALL)
     result = con.execute(entry.oracle_sql()[name])

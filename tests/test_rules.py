@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from clickfacts.functions import rules
 from clickfacts.operators import quality
 
 BASE = {
@@ -196,3 +197,40 @@ def test_filters_do_not_repeat_the_parsing(spark):
     found = quality.validate(lines).where(quality.is_invalid()).select("errors")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") <= 5
+
+
+ISO_TEXTS = [
+    "20260520T100000Z", "2026-05-20T10:00:00,5Z", "2026-W21-3", "2026W213", "2026-W21", "2026-05-20T10", "20260520", "2026-05-20 1000",
+    "2026-05-20T10:00:00.123456789", "2026-05-20T10:00+0530", "2026-05-20T10:00:00-05", "2026-W54-1", "2026-W00-1", "2020-W53-7",
+    "2026-05-20T24:00", "2026-05-20T10:60", "2026-13-01", "20260230", "2026-05-20T1000:00", "2026-05-20T", "2026-05", "0000-01-01",
+    "2026-05-20T10:00:61", "2026-05-20T10:00+24:00", "2026-W21-8",
+]
+
+
+def test_iso_forms_equal_the_standard_parser(spark):
+    from datetime import datetime
+
+    def valid(text):
+        try:
+            datetime.fromisoformat(text.replace("Z", "+00:00"))
+            return True
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(t, t.replace("Z", "+00:00")) for t in ISO_TEXTS], "t string, z string")
+    z = F.col("z")
+    got = df.select("t", (z.rlike(rules.ISO_TEXT) & rules._real_date(z) & rules._real_time(z)).alias("ok")).collect()
+    # Midnight as 24:00 is valid in newer parsers only.
+    assert {r.t: r.ok for r in got if "24:00" not in r.t} == {t: valid(t) for t in ISO_TEXTS if "24:00" not in t}
+
+
+def test_number_texts_equal_the_standard_ones(spark):
+    numbers = [0.0, -1.0, 90.5, 1e7, 12345678.25, 1e15, 123456789012345.6, 1e16, 1.5e20, 1e100, -2.5e-7, 1e-4, 0.00012, 0.001, 1e-5, 100000.01, 86400.5]
+    df = spark.createDataFrame([(n,) for n in numbers], "n double")
+    got = {r.n: r.t for r in df.select("n", rules.number_text(F.col("n")).alias("t")).collect()}
+    assert got == {n: repr(n) for n in numbers}
+    texts = [page(**{TIME: 10000000}), page(**{TIME: "1_000_000"})]
+    lines = spark.createDataFrame(list(enumerate(texts)), "i int, line string")
+    found = {r.i: r.message for r in quality.validate(lines).select("i", "errors.message").collect()}
+    assert found[0] == [f"out of range {TIME}: 10000000.0 not in [0, 86400]"]
+    assert f"out of range {TIME}: 1000000.0 not in [0, 86400]" in found[1]

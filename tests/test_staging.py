@@ -18,6 +18,8 @@ def test_shared_root():
     assert staging.shared_root(fake("local[2]")) == staging.shared_root(fake("local[2]"))
     with pytest.raises(RuntimeError):
         staging.shared_root(fake("yarn"))
+    with pytest.raises(RuntimeError):
+        staging.shared_root(fake("local-cluster[3,2,1000]"))
 
 
 def test_stage(spark):
@@ -27,10 +29,11 @@ def test_stage(spark):
     assert staging.fresh_path(spark, "t") != staging.fresh_path(spark, "t")
 
 
-def test_spread(spark):
-    assert staging.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() >= 8
-    many = spark.range(0, 100, 1, 50)
-    assert staging.spread(many) is many
+def test_discard(spark, tmp_path):
+    path = str(tmp_path / "t")
+    staging.stage(spark.range(10), "t", path)
+    staging.discard(spark, path)
+    assert not (tmp_path / "t").exists()
 
 
 def test_settings(spark):

@@ -5,7 +5,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from clickfacts.operators import clean
+from clickfacts.operators import clean, pages
 from clickfacts.plans import ingest
 from clickfacts.sources import raw, star
 from clickfacts.streaming import ingest as stream
@@ -31,7 +31,8 @@ def test_ingest_equals_batch_and_survives_replay(spark, tmp_path):
     first = go()
     assert spark.read.parquet(f"{out}/file_summary").select("batch_id").distinct().count() > 1
     batch = ingest.run(spark, root, now=NOW)
-    for name, df in zip(stream.TABLES, (batch.summary, batch.failures, batch.reports, batch.metrics), strict=True):
+    outputs = (batch.summary, batch.failures, batch.reports, batch.quarantine, batch.metrics)
+    for name, df in zip(stream.TABLES, outputs, strict=True):
         assert first[name] == content(df, "path"), name
     assert go() == first
     # The last batch is replayed when its commit is lost.
@@ -44,13 +45,25 @@ def test_ingest_equals_batch_and_survives_replay(spark, tmp_path):
     assert go() == first
 
 
-def test_dedup_stream(spark, tmp_path):
-    events = star.table(spark, SMALL, "events")
-    root = str(tmp_path / "raw")
-    views = star.raw_page_views(events)
-    raw.write_raw(views, root, F.col("date"))
-    parsed = clean.parse_page_views(raw.stream_events(spark, root, "page_view"))
-    unique = pageviews.dedup_stream(parsed, clean.PAGE_VIEW_KEY).select(*clean.PAGE_VIEW_KEY)
-    pageviews.start_append(unique, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert content(got) == content(clean.clean_page_views(views).select(*clean.PAGE_VIEW_KEY))
+def test_views_and_stats_over_batches_out_of_order(spark, tmp_path):
+    """Days arrive in any order over several runs, copies among them; nothing is lost and all days have statistics."""
+    views = star.raw_page_views(star.table(spark, SMALL, "events"))
+    root, out, state = (str(tmp_path / n) for n in ("raw", "out", "state"))
+    days = [r.date for r in views.select("date").distinct().orderBy(F.col("date").desc()).collect()]
+
+    def go():
+        parsed = clean.parse_page_views(raw.stream_events(spark, root, "page_view", 3))
+        pageviews.start_page_stats(parsed, f"{out}-views", out, state).awaitTermination()
+
+    for some in (days[:5], days[20:], days[5:20]):
+        raw.write_raw(views.where(F.col("date").isin(*some)), root, F.col("date"))
+        go()
+    # A copy of a stored day in a new file adds nothing.
+    raw.write_raw(views.where(F.col("date") == days[7]), root, F.col("date"))
+    go()
+    batch = clean.clean_page_views(views)
+    got = spark.read.parquet(f"{out}-views")
+    assert got.select("batch_id").distinct().count() > 3
+    assert content(got.select(*clean.PAGE_VIEW_KEY)) == content(batch.select(*clean.PAGE_VIEW_KEY))
+    stats = pages.page_stats(batch)
+    assert content(spark.read.parquet(out).withColumn("date", F.col("date").cast("date"))) == content(stats)
