@@ -90,7 +90,51 @@ def order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op10_simhash_windows")
+@query(
+    "op10_simhash_windows",
+    """
+    WITH d AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws
+      FROM documents
+    ),
+    b AS (
+      SELECT item_id, ws, len(ws) AS n, least(len(ws), 5) AS k FROM (
+        SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws
+        FROM benchmark
+      ) WHERE len(ws) > 0
+    ),
+    anchors AS (
+      SELECT item_id, n, k, o, array_to_string(ws[o + 1 : o + k], ' ') AS s
+      FROM (SELECT *, unnest(range(0, n - k + 1)) AS o FROM b)
+    ),
+    places AS (
+      SELECT doc_id, n_words, k, p, array_to_string(ws[p + 1 : p + k], ' ') AS s
+      FROM (SELECT doc_id, ws, len(ws) AS n_words, k, unnest(range(0, len(ws) - k + 1)) AS p
+            FROM d, (SELECT DISTINCT k FROM b) WHERE len(ws) >= k)
+    ),
+    windows AS (
+      SELECT DISTINCT doc_id, k, greatest(p - o, 0) AS b0, least(p - o + n, n_words) - greatest(p - o, 0) AS n_words
+      FROM places JOIN anchors USING (k, s)
+    ),
+    held AS (
+      SELECT w.doc_id, w.k, w.b0, w.n_words, places.s, count(*) AS c
+      FROM windows w JOIN places ON places.doc_id = w.doc_id AND places.k = w.k
+           AND p >= b0 AND p + w.k <= b0 + w.n_words
+      GROUP BY ALL
+    ),
+    asked AS (SELECT item_id, n, k, s, count(*) AS c FROM anchors GROUP BY ALL),
+    shared AS (
+      SELECT doc_id, b0, n_words, item_id, n, k, sum(least(held.c, asked.c)) AS hits
+      FROM held JOIN asked USING (k, s) GROUP BY ALL
+    ),
+    rated AS (
+      SELECT *, hits / (n_words - k + 1 + n - k + 1 - hits) AS similarity FROM shared
+    )
+    SELECT doc_id, item_id, b0::INT AS begin, n_words::INT AS n_words, round(similarity, 6) AS similarity
+    FROM rated WHERE similarity >= 0.8
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, b0, n_words DESC) = 1
+    """,
+)
 def simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain an item of the benchmark, and where."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
