@@ -19,7 +19,7 @@ import base64
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -138,18 +138,42 @@ def slice_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins.T.ravel()[:n])
 
 
-def split(texts: list[str]) -> list[list[str]]:
-    """Slices of every text; joined they give the text again."""
-    joined = "\0".join([*texts, ""])
-    ends = np.fromiter(accumulate(len(t) + 1 for t in texts), np.int64, len(texts)) - 1
-    starts = slice_starts(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), ends)
-    firsts = np.searchsorted(starts, np.concatenate([[0], ends[:-1] + 1])).tolist()
-    lasts = np.searchsorted(starts, ends).tolist()
-    places = starts.tolist()
-    return [
-        [joined[a:b] for a, b in zip(places[i:j], places[i + 1 : j + 1], strict=True)]
-        for i, j in zip(firsts, lasts, strict=True)
-    ]
+class Slices:
+    """The slices of several texts: where each begins in the joined codepoints, its length, and how many a text has."""
+
+    def __init__(self, texts: list[str]):
+        self.joined = "\0".join([*texts, ""])
+        self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.fromiter(accumulate(len(t) + 1 for t in texts), np.int64, len(texts)) - 1
+        starts = slice_starts(self.codes, ends)
+        closing = np.searchsorted(starts, ends)
+        self.per_text = np.diff(closing, prepend=-1) - 1
+        lengths = np.diff(starts, append=len(self.codes))
+        real = np.ones(len(starts), bool)
+        real[closing] = False
+        self.starts, self.lengths = starts[real], lengths[real]
+
+    def distinct(self) -> tuple[list[str], np.ndarray]:
+        """The different slices, and for every slice which of them it is."""
+        if not len(self.starts):
+            return [], np.empty(0, np.int64)
+        places = _gather(np.arange(len(self.codes)), self.starts, self.lengths)
+        before = np.cumsum(self.lengths) - self.lengths
+        inside = np.arange(len(places)) - np.repeat(before, self.lengths)
+        factors = np.random.default_rng(3).integers(1, 1 << 63, int(self.lengths.max()) + 1, dtype=np.uint64)
+        own = self.codes[places]
+        sums = np.add.reduceat((own.astype(np.uint64) + np.uint64(1)) * factors[inside], before)
+        _, first, which = np.unique(sums, return_index=True, return_inverse=True)
+        # Slices of one hash are compared codepoint by codepoint with the first of them.
+        chosen = self.starts[first][which]
+        alike = (self.lengths == self.lengths[first][which]) & np.logical_and.reduceat(
+            own == self.codes[np.minimum(np.repeat(chosen, self.lengths) + inside, len(self.codes) - 1)], before
+        )
+        odd = np.flatnonzero(~alike)
+        which[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+        begins, stops = self.starts[first].tolist(), (self.starts + self.lengths)[first].tolist()
+        return [self.joined[i:j] for i, j in zip(begins, stops, strict=True)], which
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -264,41 +288,47 @@ class Vocabulary:
         none = self.none
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         width = int(lengths.max())
-        columns, inner = np.arange(width), np.arange(max(1, width - 1))
+        columns = np.arange(width)
         tokens = np.zeros((len(pieces), width), np.int32)
         tokens[columns < lengths[:, None]] = self._single[np.frombuffer(b"".join(pieces), np.uint8)]
-        scores = np.full((len(pieces), len(inner)), none, np.int32)
-        if width > 1:
-            pairs = inner < (lengths - 1)[:, None]
-            scores[pairs] = self._joined(tokens[:, :-1][pairs], tokens[:, 1:][pairs])
-        active = np.arange(len(pieces))
-        while len(active):
-            at = scores[active].argmin(axis=1)
-            best = scores[active, at]
+        out, counts = tokens.copy(), lengths.copy()
+        # One column more than pairs: it stays without a token and moves in from the right.
+        scores = np.full((len(pieces), width), none, np.int32)
+        pairs = columns < (lengths - 1)[:, None]
+        scores[pairs] = self._joined(tokens[:, :-1][pairs[:, :-1]], tokens[:, 1:][pairs[:, :-1]])
+        rows = np.arange(len(pieces))
+        while True:
+            at = scores.argmin(axis=1)
+            best = scores[np.arange(len(at)), at]
             go = best < none
-            active, at, best = active[go], at[go], best[go]
-            shift = np.minimum(columns + (columns > at[:, None]), width - 1)
-            tokens[active] = np.take_along_axis(tokens[active], shift, 1)
-            tokens[active, at] = best
-            lengths[active] -= 1
-            moved = np.take_along_axis(scores[active], np.minimum(shift[:, : len(inner)], len(inner) - 1), 1)
-            moved[inner >= (lengths[active] - 1)[:, None]] = none
-            scores[active] = moved
-            for place in (at - 1, at):
-                ok = (place >= 0) & (place < lengths[active] - 1)
-                rows, cols = active[ok], place[ok]
-                scores[rows, cols] = self._joined(tokens[rows, cols], tokens[rows, cols + 1])
-        return tokens[columns < lengths[:, None]], lengths
-
-    def _learn(self, slices: list[list[str]]) -> None:
-        """Merge the slices the cache lacks, those of like length together."""
+            if not go.all():
+                out[rows[~go]], counts[rows[~go]] = tokens[~go], lengths[~go]
+                rows, tokens, scores, lengths, at, best = rows[go], tokens[go], scores[go], lengths[go], at[go], best[go]
+            if not len(rows):
+                break
+            every = np.arange(len(rows))
+            behind = columns[:-1] > at[:, None]
+            np.copyto(tokens[:, :-1], tokens[:, 1:].copy(), where=behind)
+            np.copyto(scores[:, :-1], scores[:, 1:].copy(), where=behind)
+            tokens[every, at] = best
+            lengths -= 1
+            scores[every, at] = none
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < lengths - 1)
+            fresh = np.concatenate([left, right])
+            place = np.concatenate([at[left] - 1, at[right]])
+            scores[fresh, place] = self._joined(tokens[fresh, place], tokens[fresh, place + 1])
+        return out[columns < counts[:, None]], counts
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of different slices in the cache; those it lacks are merged first, those of like length together."""
         if len(self._known) > CACHE_SLICES:
             self._forget()
         known = self._known
+        numbers = list(map(known.get, pieces))
+        new = [i for i, number in enumerate(numbers) if number is None]
         by_width: dict[int, list[str]] = {}
-        for piece in set(chain.from_iterable(slices)):
-            if piece not in known:
-                by_width.setdefault(-(-len(piece) // 4), []).append(piece)
+        for i in new:
+            by_width.setdefault(-(-len(pieces[i]) // 4), []).append(pieces[i])
         for width, found in by_width.items():
             if width > 16:
                 for piece in found:
@@ -308,15 +338,17 @@ class Vocabulary:
             for start in range(0, len(found), 4096):
                 part = found[start : start + 4096]
                 self._keep(part, *self.merge_all([p.encode("utf-8", "surrogatepass") for p in part]))
+        for i in new:
+            numbers[i] = known[pieces[i]]
+        return np.array(numbers, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all texts one after the other, and the number of each text."""
-        slices = split(texts)
-        self._learn(slices)
-        per_text = np.fromiter(map(len, slices), np.int64, len(slices))
-        numbers = np.fromiter(map(self._known.__getitem__, chain.from_iterable(slices)), np.int64, int(per_text.sum()))
+        slices = Slices(texts)
+        pieces, which = slices.distinct()
+        numbers = self._numbers(pieces)[which]
         counts = self._counts[numbers]
-        return _gather(self._flat, self._starts[numbers], counts), _totals(counts, per_text)
+        return _gather(self._flat, self._starts[numbers], counts), _totals(counts, slices.per_text)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all texts one after the other, and the number of each text, from their tokens."""

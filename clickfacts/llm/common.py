@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Words are maximal runs of letters and digits in lower case.
 NON_WORD = r"[^\p{L}\p{N}]+"
 #: Text a Python worker holds at a time, in characters; a longer single text is still processed whole.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 21
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -103,4 +103,7 @@ def bounded_sample(df: DataFrame, key: str, label: str, per_label: int) -> DataF
         .select(key, label)
         .distinct()
     )
-    return df.join(F.broadcast(chosen), [key, label], "left_semi")
+    # Few rows by construction. The keys alone are joined first: that join moves below any join that made ``df``.
+    chosen = cut(chosen)
+    rows = df.join(F.broadcast(chosen.select(key).distinct()), key, "left_semi")
+    return rows.join(F.broadcast(chosen), [key, label], "left_semi")
