@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickfacts.llm.bpe import vocabulary
-from clickfacts.llm.common import chunks, shared_dir
+from clickfacts.llm.common import chunks, cut, shared_dir
 
 LENGTH, PER_SHARD, ROUNDS = 256, 1 << 15, 6
+MOST_TASKS = 100_000
 _HEADER = 16
 
 
@@ -140,11 +141,13 @@ def materialise(documents: DataFrame, path: str, vocabulary_path: str, end: int,
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     _encoded(texts, vocabulary_path, end, length).write.option("compression", "zstd").parquet(staged)
     tokens = spark.read.schema("id long, task long, before long, sequences long, ids binary").parquet(staged)
-    # One row per task of the scan.
-    tasks = tokens.groupBy("task").agg(F.sum("sequences").alias("own"))
+    tasks = cut(tokens.groupBy("task").agg(F.sum("sequences").alias("own")))
     so_far = F.sum("own").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = tasks.select("task", F.coalesce(so_far, F.lit(0)).alias("offset"))
-    total = tasks.agg(F.sum("own")).first()[0] or 0
+    total, known = tasks.agg(F.coalesce(F.sum("own"), F.lit(0)), F.count("*")).first()
+    # One short row per task of the scan: broadcast while that is certainly small, else joined by a shuffle.
+    if known <= MOST_TASKS:
+        offsets = F.broadcast(offsets)
     numbered = tokens.join(offsets, "task").select("id", (F.col("before") + F.col("offset")).alias("first"), "sequences", "ids")
     records = _records(numbered, total, key, length, per_shard)
     count = max(1, -(-total // per_shard))
