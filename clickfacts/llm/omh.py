@@ -237,10 +237,8 @@ def similarities(pairs: list[tuple[np.ndarray, np.ndarray]], threshold: float =
     return out
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, coded: DataFrame, threshold: float) -> DataFrame:
     """The links ``a, b`` among candidate pairs, with their similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    coded = cut(_coded(texts.join(ids, "id", "left_semi")))
     both = pairs.join(coded.select(F.col("id").alias("a"), F.col("codes").alias("left")), "a").join(
         coded.select(F.col("id").alias("b"), F.col("codes").alias("right")), "b"
     )
@@ -274,12 +272,13 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
     same = sketched.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies"))
     members = sketched.select("id", "digest").join(same, "digest").select("id", "rep", "n_copies").distinct()
     reps = sketched.join(same.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi").select("id", "n", "keys")
-    rows = reps.dropDuplicates(["id"]).select("id", "n", "keys", F.explode("keys").alias("key"))
+    reps = cut(reps.dropDuplicates(["id"]))
+    # Bucket rows are slim: sizes and sketches are joined where pairs need them.
+    rows = reps.select("id", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     bucketed = cut(rows.join(shared, "key"))
-    slim = bucketed.select("key", "id", "size")
-    central = slim.groupBy("id").agg(F.sum(F.log("size")).alias("weight"))
-    hubs = slim.join(central, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("lowest"))).alias("hub"))
+    central = bucketed.groupBy("id").agg(F.sum(F.log("size")).alias("weight"))
+    hubs = bucketed.join(central, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("lowest"))).alias("hub"))
     hubs = hubs.select("key", (-F.col("hub.lowest")).alias("hub"))
     agree = lambda x, y: F.size(F.array_intersect(x, y)) >= AGREE
     alike = lambda n, m: F.least(n, m) >= threshold * F.greatest(n, m)
@@ -287,18 +286,21 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
     def candidates(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes and sketches allow the similarity."""
         first = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-        side = bucketed.select("id", "n", "keys").dropDuplicates(["id"])
-        left = side.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"))
-        right = side.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"))
+        left = reps.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"))
+        right = reps.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"))
         return first.join(left, "a").join(right, "b").where(alike(F.col("n_a"), F.col("n_b")) & agree("keys_a", "keys_b")).select("a", "b")
 
-    stars = slim.join(hubs, "key").select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    links = cut(_verified(cut(candidates(stars)), texts, threshold))
+    stars = bucketed.join(hubs, "key").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    starred = cut(candidates(stars))
+    # Texts are read again only where a pair is possible, once for both rounds.
+    possible = bucketed.groupBy("id").agg(F.count("*").alias("shared")).where(F.col("shared") >= AGREE).select("id")
+    coded = cut(_coded(texts.join(possible, "id", "left_semi")))
+    links = cut(_verified(starred, coded, threshold))
     found = components(links)
     # Whatever a bucket still holds of several components is compared across them.
     placed = bucketed.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     torn = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_ = cut(placed.join(torn, "key", "left_semi").select("key", "id", "n", "keys", "component"))
+    open_ = cut(placed.join(torn, "key", "left_semi").select("key", "id", "component").join(reps, "id"))
     # Of a component only the hub's links are known, so every row of a smaller one meets every row of another.
     sizes = open_.groupBy("key", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
@@ -312,8 +314,8 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
         & agree("keys_a", "keys_b")
     )
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = cut(more.join(cut(candidates(stars)), ["a", "b"], "left_anti"))
-    late = cut(_verified(tried, texts, threshold))
+    tried = cut(more.join(starred, ["a", "b"], "left_anti"))
+    late = cut(_verified(tried, coded, threshold))
     classes = components(links.select("a", "b").union(late.select("a", "b")))
     grouped = members.join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("class_id"), "n_copies"
