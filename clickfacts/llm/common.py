@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -43,18 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="clickfacts-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clickfacts-llm-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and kept in the shared checkpoint folder; lineage ends there."""
     context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
