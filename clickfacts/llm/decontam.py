@@ -9,7 +9,11 @@ Words are maximal runs of letters and digits in lower case; shingles are five wo
 3. Search. Fingerprints are cut into four blocks of 16 bits. Two fingerprints at most ``RADIUS`` = 11 bits apart differ
    by at most two bits in one block at least, so joining each window's blocks to the items' blocks with up to two bits
    flipped finds all of them, whatever the number of items.
-4. Check. The weighted Jaccard similarity of the shingles, each weighing as often as it occurs, must reach the
+4. Rare shingles. Similar texts can have fingerprints farther apart: a tenth of the words changed at the head or the
+   tail may flip more than ``RADIUS`` bits. So windows are also joined to the items by shingles. A window that reaches
+   the threshold holds at least that share of an item's shingles, so it cannot miss all of the remaining ones and one
+   more; of each item only so many are joined, those that the fewest items have. This search is exact: no pair is lost.
+5. Check. The weighted Jaccard similarity of the shingles, each weighing as often as it occurs, must reach the
    threshold.
 
 All steps are DataFrame operations. The shingles of a passage that a third of the documents share meet a row each of
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfacts.llm.common import cut, words
@@ -69,6 +73,27 @@ def _weight_shared(left: Column, right: Column) -> Column:
     return F.aggregate(F.array_distinct(left), F.lit(0), lambda acc, s: acc + F.least(times(left, s), times(right, s)))
 
 
+def _by_rare_shingles(windows: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """``id, begin, length, k, item`` of all pairs that can reach the threshold, and of few others."""
+    total = F.size("item_shingles").alias("total")
+    asked = items.select("item", "k", total, F.posexplode("item_shingles").alias("offset", "shingle"))
+    asked = asked.select("item", "k", "total", "offset", F.xxhash64("shingle").alias("hash"))
+    spread = asked.groupBy("k", "hash").agg(F.count_distinct("item").alias("n_items"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("n_items", "hash", "offset"))
+    ranked = asked.join(spread, ["k", "hash"]).withColumn("rank", rank)
+    # Without the occurrences up to this rank the rest of the item is below the threshold. Both quotients are rounded
+    # as the similarity is, so a pair that reaches the threshold passes them.
+    rare = ranked.where((F.col("total") - F.col("rank") + 1) / F.col("total") >= threshold)
+    rare = rare.select("item", "k", "hash", "total").distinct()
+    hashes = F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))
+    held = windows.select(
+        "id", "begin", "k", F.size("words").alias("length"), F.size("shingles").alias("own"), F.explode(hashes).alias("hash")
+    )
+    near = held.join(rare, ["k", "hash"])
+    near = near.where(F.least("own", "total") / F.greatest("own", "total") >= threshold)
+    return near.select("id", "begin", "length", "k", "item")
+
+
 def leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -128,7 +153,8 @@ def leaks(
     near = probes.join(targets, ["block", "value", "k"]).where(
         F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS
     )
-    pairs = near.select("id", "begin", "length", "k", "item").distinct()
+    near = near.select("id", "begin", "length", "k", "item")
+    pairs = near.union(_by_rare_shingles(windows, items, threshold)).distinct()
     checked = pairs.join(items.select("item", "k", "item_shingles").distinct(), ["item", "k"]).join(
         windows.select("id", "begin", "k", F.size("words").alias("length"), "shingles"), ["id", "begin", "k", "length"]
     )

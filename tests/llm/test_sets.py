@@ -235,6 +235,39 @@ def test_leaks_equal_brute_force(spark):
     assert decontam.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_with_changed_ends_equal_sql(spark):
+    """Heads and tails replaced as far as similarity 0.80 to 0.90 allows, over many items, against the query's SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=draw.randint(3, 8)))
+    items, documents = [], []
+    for n in range(240):
+        own = [word() for _ in range(draw.randint(24, 70))]
+        items.append((n, " ".join(own)))
+        shingles = len(own) - 4
+        worst = shingles // 9
+        # The most changed words that keep the similarity at 0.8, and about half as many.
+        for i, changed in enumerate((worst, max(1, worst // 2))):
+            other = [word() for _ in range(changed)]
+            text = other + own[changed:] if n % 2 else own[: len(own) - changed] + other
+            around = [word() for _ in range(30)]
+            documents.append((2 * n + i, " ".join(around[:15] + text + around[15:])))
+    # An item that shares most shingles with another one, and one of a single repeated shingle.
+    items += [(500, items[0][1] + " end"), (501, "again " * 30)]
+    documents.append((900, "x " * 9 + "again " * 27 + "y " * 9))
+    df = spark.createDataFrame([(i, t, "x") for i, t in documents], DOCS)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    with duckdb.connect() as db:
+        for name, rows in (("documents", documents), ("benchmark", items)):
+            key = "doc_id" if name == "documents" else "item_id"
+            db.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+            db.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+        want = sorted(db.execute(queries.ORACLES["op10_simhash_windows"]).fetchall())
+    got = sorted(tuple(r) for r in decontam.leaks(df, bench).collect())
+    assert len(want) > 480
+    assert got == want
+
+
 def test_blocks_cover_the_radius():
     """Any two fingerprints within the radius agree up to the flips in one block."""
     draw = random.Random(1)
