@@ -7,7 +7,9 @@ values stay equal in all documents, whatever their separators.
 
 Kinds, in order of precedence where spans touch: secrets (assignments of hexadecimal values to password, token, key or
 secret; access keys), e-mail addresses (local part), IBANs (mod 97), card numbers (Luhn), IPv4 addresses, telephone
-numbers, dates. A candidate that fails its validation stays as it is.
+numbers, dates. A candidate that fails its validation may have taken in a token behind the value (a card's security
+code, the currency behind an IBAN): it is tried again with each shorter end at a blank or another mark between its groups,
+longest first, and then as the other kinds. What is valid in no way stays as it is.
 """
 
 from __future__ import annotations
@@ -176,19 +178,23 @@ def _date(found: str, key: bytes) -> str | None:
 _MAKERS: dict[str, Callable[[str, bytes], str | None]] = dict(
     zip(KINDS, (_secret, _email, _iban, _card, _ip, _phone, _date), strict=True)
 )
-_PATTERN = re.compile(
-    r"""(?P<secret>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])
-        |(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)["']?\s*[=:]\s*["']?(?=[\w+/.-]*\d)[\w+/.-]{7,}[\w+/]["']?))
-       |(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
-       |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-       |(?P<date>(?<![\d.,/-])(?:\d{4}(?P<iso>[-/.])\d{2}(?P=iso)\d{2}|\d{1,2}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{4})(?![\d/-]|[.]\d))
-       |(?P<card>(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-]))
-       |(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))
-       |(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])
+_FORMS = {
+    "secret": r"""(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])
+        |(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)["']?\s*[=:]\s*["']?(?=[\w+/.-]*\d)[\w+/.-]{7,}[\w+/]["']?)""",
+    "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "date": r"""(?<![\d.,/-])(?:\d{4}(?P<iso>[-/.])\d{2}(?P=iso)\d{2}
+        |\d{1,2}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{4})(?![\d/-]|[.]\d)""",
+    "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
+    "phone": r"""(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])
         |(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?![\w-])
-        |(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-]))""",
-    re.VERBOSE,
-)
+        |(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-])""",
+}
+_PATTERN = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in _FORMS.items()), re.VERBOSE)
+_PATTERNS = {kind: re.compile(form, re.VERBOSE) for kind, form in _FORMS.items()}
+#: What a value of a kind may be grouped by: a candidate may have taken in the next token behind one of these.
+_MARKS = {"iban": re.compile(" "), "card": re.compile(r"[ -]"), "phone": re.compile(r"[ .-]")}
 _WORTH_A_LOOK = re.compile(r"[0-9@]")
 
 
@@ -199,23 +205,54 @@ class Pseudonyms:
         self._keys = {k: hashlib.blake2b(k.encode(), key=key.encode()[:64], digest_size=16).digest() for k in KINDS}
         self._known = lru_cache(maxsize=50_000)(lambda kind, found: _MAKERS[kind](found, self._keys[kind]))
 
+    def _longest(self, kind: str, text: str, begin: int) -> tuple[int, str | None]:
+        """End and pseudonym of the longest valid value of a kind that begins here; it may end at any of its marks."""
+        found = _PATTERNS[kind].match(text, begin)
+        if not found:
+            return begin, None
+        ends = [m.start() for m in _MARKS[kind].finditer(text, begin + 1, found.end())] if kind in _MARKS else []
+        for end in (found.end(), *reversed(ends)):
+            if end == found.end() or _PATTERNS[kind].fullmatch(text, begin, end):
+                fresh = self._known(kind, text[begin:end])
+                if fresh is not None:
+                    return end, fresh
+        return begin, None
+
+    def _other(self, text: str, begin: int) -> tuple[str, int, str | None]:
+        """Kind, end and pseudonym of what begins where the first candidate is not valid.
+
+        A shorter value yields to a longer one of its kind that begins at one of its tokens: numbers before a card
+        and the card's first groups may be valid by chance.
+        """
+        for kind in _FORMS:
+            end, fresh = self._longest(kind, text, begin)
+            if fresh is None:
+                continue
+            marks = _MARKS[kind].finditer(text, begin + 1, end) if kind in _MARKS else ()
+            size = lambda a, b: sum(c.isalnum() for c in text[a:b])
+            if all(size(m.end(), self._longest(kind, text, m.end())[0]) <= size(begin, end) for m in marks):
+                return kind, end, fresh
+        return "", begin, None
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and kind, begin and end of each in the new text, in characters."""
         if not _WORTH_A_LOOK.search(text):
             return text, []
         pieces, spans, last, length, at = [], [], 0, 0, 0
         while found := _PATTERN.search(text, at):
-            kind = found.lastgroup
+            begin, kind, end = found.start(), found.lastgroup, found.end()
             fresh = self._known(kind, found[0])
             if fresh is None:
-                # Not valid: a shorter or later candidate may begin behind its first character.
-                at = found.start() + 1
+                kind, end, fresh = self._other(text, begin)
+            if fresh is None:
+                # Not valid in any way: a later candidate may begin behind its first character.
+                at = begin + 1
                 continue
-            pieces += [text[last : found.start()], fresh]
-            length += found.start() - last
+            pieces += [text[last:begin], fresh]
+            length += begin - last
             spans.append((kind, length, length + len(fresh)))
             length += len(fresh)
-            at = last = found.end()
+            at = last = end
         return "".join([*pieces, text[last:]]), spans
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import random
+import re
 import zlib
 
 import numpy as np
@@ -109,6 +110,67 @@ def test_pseudonym_keeps_format(text, kind):
     assert names.replace(text + " " + text)[0] == fresh + " " + fresh
 
 
+@pytest.mark.parametrize(
+    ("value", "kind"),
+    [
+        ("4111111111111111", "card"),
+        ("4111 1111 1111 1111", "card"),
+        ("4111-1111-1111-1111", "card"),
+        ("3782 822463 10005", "card"),
+        ("ES91 2100 0418 4502 0005 1332", "iban"),
+        ("ES9121000418450200051332", "iban"),
+        ("GB29 NWBK 6016 1331 9268 19", "iban"),
+        ("555-123-4567", "phone"),
+        ("+49 30 1234 5678", "phone"),
+        ("(555) 123-4567", "phone"),
+        ("2024-02-29", "date"),
+    ],
+)
+@pytest.mark.parametrize(
+    "tail", [" 123", " 12/27", " 7", " 890", " 12", " 2027", " EUR", " BANK EUR", " A1", " 12345678 90", " 1 2 3", ", 5"]
+)
+def test_pseudonym_with_a_token_behind(value, kind, tail):
+    """Digits and upper-case words behind a value never leave it in clear."""
+    names = pii.Pseudonyms("key")
+    for text in (value + tail, f"pay {value}{tail} now"):
+        fresh, spans = names.replace(text)
+        assert spans and value not in fresh
+        begin = text.index(value)
+        # A number that is valid as a whole by chance, or a telephone number that goes on, is replaced with its tail.
+        assert spans[0][1] == begin and spans[0][2] >= begin + len(value)
+        assert kind in (s[0] for s in spans) or spans[0][0] == "card"
+        if spans[0][2] == begin + len(value):
+            assert fresh[begin : spans[0][2]] == names.replace(value)[0]
+
+
+def test_pseudonym_exact_ends():
+    names = pii.Pseudonyms("key")
+    for value, tail in (
+        ("4111111111111111", " 123"),
+        ("4111 1111 1111 1111", " 12/27"),
+        ("4111-1111-1111-1111", "-123"),
+        ("ES91 2100 0418 4502 0005 1332", " EUR"),
+        ("ES91 2100 0418 4502 0005 1332", " BANK EUR"),
+        ("555-123-4567", " 890"),
+        ("+49 30 1234 5678", " 9012 34567"),
+    ):
+        fresh, spans = names.replace(value + tail)
+        assert len(spans) == 1 and fresh == names.replace(value)[0] + tail, value + tail
+
+
+def test_pseudonym_with_numbers_before():
+    """A number before a card never takes the card's first groups and leaves its last one."""
+    names = pii.Pseudonyms("key")
+    for i in range(300):
+        payload = f"4{i * 7919:014d}"
+        card = " ".join(re.findall("....", payload + pii.luhn_digit(payload)))
+        for before in ("12 ", "7 ", "123 "):
+            fresh, spans = names.replace(before + card)
+            # The whole row of digits may be a valid number of up to 19.
+            assert [s[1:] for s in spans] in ([(len(before), len(before + card))], [(0, len(before + card))])
+            assert not fresh.endswith(card)
+
+
 def test_pseudonyms_leave_the_rest():
     names = pii.Pseudonyms("key")
     for text in ("", "no data", "v1.2.3", "4785380592391138", "999.1.1.1", "2024-02-30", "12345", "a@b", "1/2"):
