@@ -73,15 +73,15 @@ def _zone(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 
 
 def line_zone(spark: SparkSession, sf_dir: str) -> str:
-    """All events as raw lines, faults and blank lines included; a file per type and day while files are small."""
+    """All events as raw lines, faults and blank lines included; one file per type and day, however large."""
     lines = star.raw_files(events(spark, sf_dir))
-    return _zone(spark, sf_dir, "lines", lambda root: raw.write_lines(lines, root, ["event_id", "part"]))
+    return _zone(spark, sf_dir, "lines", lambda root: raw.write_lines(lines, root, ["event_id", "part"], whole=True))
 
 
 def weekly_zone(spark: SparkSession, sf_dir: str) -> str:
     """The lines of ``line_zone`` under the first day of their week."""
     lines = star.raw_files(events(spark, sf_dir), F.date_trunc("week", "ts"))
-    return _zone(spark, sf_dir, "weekly", lambda root: raw.write_lines(lines, root, ["event_id", "part"]))
+    return _zone(spark, sf_dir, "weekly", lambda root: raw.write_lines(lines, root, ["event_id", "part"], whole=True))
 
 
 def typed_zone(spark: SparkSession, sf_dir: str) -> str:

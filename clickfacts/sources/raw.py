@@ -145,9 +145,12 @@ def _by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def _write_text(lines: DataFrame, root: str, order: Sequence[str] = ()) -> None:
-    out = _by_partition(lines, PARTITIONS).sortWithinPartitions(*PARTITIONS, *order).select("value", *PARTITIONS)
+def _write_text(lines: DataFrame, root: str, order: Sequence[str] = (), whole: bool = False) -> None:
+    dealt = lines.repartition(*PARTITIONS) if whole else _by_partition(lines, PARTITIONS)
+    out = dealt.sortWithinPartitions(*PARTITIONS, *order).select("value", *PARTITIONS)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if whole:
+        writer = writer.option("maxRecordsPerFile", 0)
     writer.partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
 
 
@@ -161,9 +164,13 @@ def write_raw(events: DataFrame, root: str, day: Column | None = None) -> None:
     _write_text(events.select(payload.alias("value"), F.col("event_type"), *raw_partitions(on)), root)
 
 
-def write_lines(lines: DataFrame, root: str, order: Sequence[str]) -> None:
-    """Ready-made text lines (``value``) into the raw layout, in the given order inside every file."""
-    _write_text(lines, root, order)
+def write_lines(lines: DataFrame, root: str, order: Sequence[str], whole: bool = False) -> None:
+    """Ready-made text lines (``value``) into the raw layout, in the given order inside every file.
+
+    With ``whole`` every type and day is exactly one file however large it is, written by one task: results per file
+    then do not depend on sizes and settings. Otherwise a large type and day becomes several files.
+    """
+    _write_text(lines, root, order, whole)
 
 
 def write_mixed(events: DataFrame, path: str, mode: str = "overwrite") -> None:
