@@ -8,7 +8,10 @@ vectors exceed it at the same directions; dissimilar ones hardly ever do. Vector
 are candidates, and the cosine in double precision decides.
 
 The number of directions grows with the number of vectors and the bound with it, so that a vector has about ``LISTED``
-directions in each of ``TABLES`` independent codes and a direction has few vectors, at every input size.
+directions in each of several independent codes and a direction has few vectors, at every input size. Two vectors at
+the threshold share a direction of one code less often the more directions it has, so the number of codes (tables)
+follows from that share, measured on random pairs: of pairs at the threshold no more than ``MISSED`` are expected to
+be missed, at every input size, length of vectors and threshold.
 
 Equal vectors of a label are one representative with a weight; they are never paired with each other. Each pair of
 representatives is kept at the first direction both are listed at, so it is verified once. Vectors that are null, zero
@@ -30,7 +33,12 @@ from clickfacts.llm.common import cut
 from clickfacts.llm.components import components
 
 THRESHOLD = 0.93
-TABLES, LISTED = 5, 16
+#: Tables at least, and those beyond which short vectors, which share few of many directions, get fewer directions.
+TABLES, TABLES_MOST, LISTED = 5, 16, 16
+#: Expected part of the pairs at the threshold that is missed; random pairs that measure it; tables a number can name.
+MISSED, PROBES, STRIDE = 0.001, 1000, 1 << 12
+#: Below this length a half has one component and all its codewords are two; a grid takes the place of the codes.
+SHORT = 4
 #: Directions per vector of the input, and the codewords of a half at most (the code is then searched in full).
 DIRECTIONS_PER_ROW, CODEWORDS_LEAST, CODEWORDS_MOST = 8, 64, 1 << 15
 
@@ -88,12 +96,48 @@ class Filters:
         return out
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=TABLES_MOST)
 def filters(length: int, codewords: int, table: int) -> Filters:
     return Filters(length, codewords, table)
 
 
-def _listed(vectors: DataFrame, codewords: int) -> DataFrame:
+def shared(known: Filters, length: int, threshold: float, probes: int = PROBES) -> np.ndarray:
+    """For random pairs at the threshold, the same ones for all tables, whether they share a direction."""
+    draw = np.random.default_rng([length, probes])
+    x = Filters._unit(draw.standard_normal((probes, length)))
+    across = draw.standard_normal((probes, length))
+    across = Filters._unit(across - (across * x).sum(1, keepdims=True) * x)
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * across
+    return np.array([len(np.intersect1d(a, b)) > 0 for a, b in zip(known.listed(x), known.listed(y), strict=True)])
+
+
+@lru_cache(maxsize=64)
+def plan(length: int, codewords: int, threshold: float) -> tuple[int, int]:
+    """Codewords of a half and tables for vectors of one length."""
+    while True:
+        share = shared(filters(length, codewords, 0), length, threshold).mean()
+        tables = STRIDE if share == 0 else int(np.ceil(np.log(MISSED) / np.log(max(1 - share, 1e-9))))
+        if tables <= TABLES_MOST or codewords <= CODEWORDS_LEAST:
+            return codewords, min(STRIDE, max(TABLES, tables))
+        codewords //= 2
+
+
+def cells(units: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """For vectors too short for the codes: the cells of a grid that two vectors at the threshold surely share.
+
+    The cells are as wide as the distance of such a pair, and each vector is listed at all within half of it, so both
+    are listed at the cell of their midpoint.
+    """
+    width = np.sqrt(max(0.0, 2 - 2 * threshold)) * (1 + 1e-6) + 1e-6
+    low, high = (np.floor(units / width + side).astype(np.int64) + (1 << 20) for side in (-0.5, 0.5))
+    numbers = np.zeros((len(units), 1), np.int64)
+    for i in range(units.shape[1]):
+        ends = np.stack([low[:, i], high[:, i]], axis=1)
+        numbers = (numbers[:, :, None] * (1 << 21) + ends[:, None, :]).reshape(len(units), -1)
+    return [np.unique(x) for x in numbers]
+
+
+def _listed(vectors: DataFrame, codewords: int, threshold: float) -> DataFrame:
     """``rep, label, listed``: the direction numbers of every vector, those of each table apart from the others'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,10 +153,15 @@ def _listed(vectors: DataFrame, codewords: int) -> DataFrame:
                     units = np.array([rows[i] for i in own], np.float64)
                     units /= np.abs(units).max(axis=1, keepdims=True)
                     units /= np.linalg.norm(units, axis=1, keepdims=True)
-                    for table in range(TABLES):
-                        known = filters(length, codewords, table)
+                    if length < SHORT:
+                        for i, numbers in zip(own, cells(units, threshold), strict=True):
+                            found[i].append(numbers)
+                        continue
+                    own_codewords, tables = plan(length, codewords, threshold)
+                    for table in range(tables):
+                        known = filters(length, own_codewords, table)
                         for i, numbers in zip(own, known.listed(units), strict=True):
-                            found[i].append(numbers * TABLES + table)
+                            found[i].append(numbers * STRIDE + table)
                 lists = pa.array([np.sort(np.concatenate(x)) for x in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["rep", "label", "listed"])
 
@@ -165,7 +214,7 @@ def duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", la
     # A key of its own, since a repeated row key may be the smallest of several classes.
     classes = cut(classes.withColumn("rep", F.xxhash64("label", "vector")))
     codewords = codewords_for(classes.count())
-    listed = cut(_listed(classes.select("rep", "label", "vector"), codewords))
+    listed = cut(_listed(classes.select("rep", "label", "vector"), codewords, threshold))
     entries = listed.select("rep", "label", "listed", F.explode("listed").alias("direction"))
     left = entries.select("label", "direction", F.col("rep").alias("a"), F.col("listed").alias("listed_a"))
     right = entries.select("label", "direction", F.col("rep").alias("b"), F.col("listed").alias("listed_b"))

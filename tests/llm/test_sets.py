@@ -189,6 +189,26 @@ def test_cap_lists_are_complete():
     assert np.mean([any(len(np.intersect1d(*t[i])) for t in both) for i in range(len(x))]) >= 0.99
 
 
+def test_cap_recall_does_not_fall_with_size():
+    """Pairs at the threshold share a direction as often with the codewords of many vectors as with those of few."""
+    assert caps.plan(64, 512, 0.93)[1] <= caps.plan(64, 16384, 0.93)[1]
+    for length, codewords in ((64, 16384), (16, 4096), (64, 512), (4, 64)):
+        own, tables = caps.plan(length, codewords, 0.93)
+        found = np.zeros(2000, bool)
+        for t in range(tables):
+            found |= caps.shared(caps.Filters(length, own, t), length, 0.93, 2000)
+        assert found.mean() >= 0.9975, (length, codewords, tables)
+
+
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_cells_of_short_vectors_are_exact(length):
+    x = np.random.default_rng(length).normal(size=(300, length))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    listed = caps.cells(x, 0.93)
+    for a, b in zip(*np.nonzero(x @ x.T >= 0.93), strict=True):
+        assert len(np.intersect1d(listed[a], listed[b]))
+
+
 def _brute_leaks(documents, items):
     """Best window of an item's length by the weighted shingle similarity, over all positions."""
     cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
