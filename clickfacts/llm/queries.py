@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import backoff, bpe, caps, crf, decontam, kdtree, nbsvm, omh, pii, shards
+from clickfacts.llm import backoff, bpe, caps, crf, decontam, fairmix, kdtree, nbsvm, omh, pii, shards
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -201,3 +201,47 @@ def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("begin").alias("byte_begin"),
         F.sha2("record", 256).alias("record_sha256"),
     )
+
+
+@query(
+    "op13_fair_mix",
+    """
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+             md5(concat_ws('|', 'mix', doc_id::VARCHAR, md5(coalesce(text, '')))) AS o
+      FROM documents
+    ),
+    s AS (
+      SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+      FROM d GROUP BY source
+    ),
+    w AS (SELECT *, ([3, 1, 2])[(rank - 1) % 3 + 1] AS weight, 2 * source_size AS most FROM s),
+    l AS (
+      SELECT (SELECT 1.5::DOUBLE * sum(source_size) FROM w) - coalesce(sum(most) OVER before, 0) AS rest,
+             (SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER before, 0) AS weights
+      FROM w WINDOW before AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ),
+    t AS (
+      SELECT *, least(most::DOUBLE, weight * (SELECT max(rest / weights) FROM l)) AS target FROM w
+    ),
+    q AS (
+      SELECT d.*, t.source_size, t.target, t.rank,
+             sum(size) OVER (PARTITION BY t.rank ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) AS given,
+             row_number() OVER (ORDER BY t.rank, o, doc_id, size) AS r
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    ),
+    e AS (
+      SELECT r, size, epoch, (given + epoch * source_size)::DOUBLE / target AS finish, rank
+      FROM q, (VALUES (0), (1)) AS x(epoch) WHERE size > 0
+    ),
+    m AS (
+      SELECT r, greatest(0, least(size, (SELECT sum(size) * 3 // 2 FROM d) - (sum(size) OVER served - size))) AS taken
+      FROM e WINDOW served AS (ORDER BY finish, rank, epoch, r ROWS UNBOUNDED PRECEDING)
+    )
+    SELECT doc_id, size, source_size, target, coalesce(m.taken, 0)::BIGINT AS taken
+    FROM q LEFT JOIN (SELECT r, sum(taken) AS taken FROM m GROUP BY r) m USING (r)
+    """,
+)
+def fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document; sources come near their targets."""
+    return fairmix.shares(table(spark, sf_dir, "documents"))
