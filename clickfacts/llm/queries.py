@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import backoff, bpe, caps, crf, decontam, fairmix, kdtree, nbsvm, omh, pii, shards
+from clickfacts.llm import backoff, bpe, caps, crf, decontam, fairmix, kdtree, nbsvm, omh, pii, rmqsearch, shards
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,40 @@ def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document; sources come near their targets."""
     return fairmix.shares(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_rmq_search",
+    """
+    WITH t AS (
+      SELECT doc_id, row_number() OVER () AS d, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+      FROM documents
+    ),
+    p AS (SELECT doc_id, d, term, count(*) AS tf FROM t GROUP BY ALL),
+    n AS (SELECT d, sum(tf)::BIGINT AS n FROM p GROUP BY d),
+    c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+    w AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, docs
+    ),
+    i AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+      FROM benchmark
+    ),
+    s AS (
+      SELECT item_id, doc_id, d,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+      FROM i JOIN p USING (term) JOIN w USING (term) JOIN n USING (d), c
+      GROUP BY ALL
+    )
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+    FROM s WHERE score > 0
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
+)
+def rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every item of the benchmark."""
+    return rmqsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
