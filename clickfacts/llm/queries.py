@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfacts.llm import backoff, bpe, caps, crf, decontam, fairmix, kdtree, nbsvm, omh, pii, rmqsearch, shards
+from clickfacts.llm import backoff, bpe, caps, crf, decontam, fairmix, kdtree, nbsvm, omh, pii, rmqsearch, shards, spillalign
 from clickfacts.llm.common import ship, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -282,3 +282,10 @@ def fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for every item of the benchmark."""
     return rmqsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned by bytes, and how common the pairs of every document are in the corpus."""
+    documents = table(spark, sf_dir, "documents")
+    return spillalign.align(documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
