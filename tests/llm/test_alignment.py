@@ -1,5 +1,6 @@
 """Alignment of two tokenizers against brute force with the tokenizer libraries."""
 
+import bisect
 import hashlib
 import random
 from collections import Counter
@@ -46,27 +47,20 @@ def brute(rows, libraries):
                 own.append((at, at + len(x), i))
                 at += len(x)
             spans.append(own)
-        links = [(x[2], y[2]) for x in spans[0] for y in spans[1] if max(x[0], y[0]) < min(x[1], y[1])] if len(a) < 300 else None
-        if links is None:
-            links, j = [], 0
-            for x in spans[0]:
-                while spans[1][j][1] <= x[0]:
-                    j += 1
-                k = j
-                while k < len(spans[1]) and spans[1][k][0] < x[1]:
-                    links.append((x[2], spans[1][k][2]))
-                    k += 1
+        links, j = [], 0
+        for low, high, i in spans[0]:
+            while spans[1][j][1] <= low:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][0] < high:
+                links.append((i, spans[1][k][2]))
+                k += 1
         cuts = sorted({x[1] for x in spans[0]} & {y[1] for y in spans[1]})
-        groups, low = [], 0
-        for high in cuts:
-            groups.append("|".join(",".join(str(x[2]) for x in own if low < x[1] <= high) for own in spans) if len(a) < 300 else None)
-            low = high
-        if len(a) >= 300:
-            owner = [[[] for _ in cuts] for _ in spans]
-            for own, kept in zip(spans, owner, strict=True):
-                for x in own:
-                    kept[np.searchsorted(cuts, x[1])].append(str(x[2]))
-            groups = [",".join(x) + "|" + ",".join(y) for x, y in zip(*owner, strict=True)]
+        sides = [[[] for _ in cuts] for _ in spans]
+        for own, kept in zip(spans, sides, strict=True):
+            for _, high, i in own:
+                kept[bisect.bisect_left(cuts, high)].append(str(i))
+        groups = [",".join(x) + "|" + ",".join(y) for x, y in zip(*sides, strict=True)]
         linked.append(links)
         out.append([key, len(a), len(b), len(cuts), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest()])
     counts = Counter(p for links in linked for p in links)
