@@ -10,14 +10,17 @@ The field is trained here, on a sample bounded by ``SAMPLE_PER_LABEL`` texts per
 different languages are spliced, which gives sequences whose true switches are known. Training maximises the
 conditional likelihood by AdaGrad.
 
-Words are runs of letters in lower case. A text that is null, empty or has no letter has the label ``und`` and score
-0. Texts are read whole, whatever their length.
+Words are runs of letters (and of the numerals among them that are no digits) in lower case, with a letter at least. A
+text that is null, empty or has no letter has the label ``und`` and score 0. Of labels with equal sums the first in code
+point order is taken; repeated rows are labelled one by one, and an empty table gives an empty result. Texts are read
+whole, whatever their length: training takes word windows from all over a long text.
 """
 
 from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,18 +35,30 @@ from pyspark.sql import types as T
 from clickfacts.llm.common import appended, bounded_sample, chunks
 
 UNKNOWN = "und"
-#: Bounds of the training sample: texts per label, words of a text, and spliced sequences.
-SAMPLE_PER_LABEL, SAMPLE_WORDS, SEQUENCES, SEQUENCE_WORDS = 500, 400, 2400, 32
+#: Bounds of the training sample: texts per label, words of a text and the windows they come from, spliced sequences.
+SAMPLE_PER_LABEL, SAMPLE_WORDS, WINDOWS, SEQUENCES, SEQUENCE_WORDS = 500, 400, 8, 2400, 32
 EPOCHS, RATE, DECAY = 4, 0.3, 1e-6
 _BUCKETS = 1 << 17
 _LENGTHS = (2, 3, 4)
 #: Words a Python worker keeps the scores of; beyond them it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    found = _WORD.findall(text.lower())
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
+
+
+def sampled_words(text: str) -> list[str]:
+    """At most ``SAMPLE_WORDS`` words of a text: of a longer one a window from each of ``WINDOWS`` equal stretches."""
+    words = words_of(text)
+    if len(words) <= SAMPLE_WORDS:
+        return words
+    draw, size = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass"))), SAMPLE_WORDS // WINDOWS
+    edges = [i * len(words) // WINDOWS for i in range(WINDOWS + 1)]
+    begins = [draw.randrange(a, max(a + 1, b - size + 1)) for a, b in zip(edges, edges[1:], strict=False)]
+    return [w for begin in begins for w in words[begin : begin + size]]
 
 
 def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +154,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Field:
     """A field from pairs of label and text. Labels are balanced; with no usable text it knows no label."""
     by_label: dict[str, list[list[str]]] = {}
     for label, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
-        if found := words_of(text or "")[:SAMPLE_WORDS]:
+        if found := sampled_words(text or ""):
             by_label.setdefault(label, []).append(found)
     labels = sorted(by_label)
     size = len(labels)
@@ -250,7 +265,7 @@ class Labeller:
 
 
 #: Texts scored together, in characters: the longest of them sets the number of steps.
-_TOGETHER = 1 << 22
+_TOGETHER = 1 << 20
 
 
 def _many(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
@@ -320,7 +335,11 @@ def label(df: DataFrame, field: Field, text: str = "text", spans: bool = False,
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Field:
     """A field trained on a bounded sample of the rows of ``df`` that have a label and a text."""
     usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(key, text, lang)
-    rows = bounded_sample(usable, key, lang, SAMPLE_PER_LABEL)
-    # More text than training uses of one document need not reach the driver.
-    cut_text = F.substring(text, 1, 16 * SAMPLE_WORDS)
-    return train([(r[0], r[1]) for r in rows.select(lang, cut_text).collect()])
+    rows = bounded_sample(usable, key, lang, SAMPLE_PER_LABEL).select(F.col(lang).alias("label"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches, "text"):
+            yield appended(part, {"text": pa.array([" ".join(sampled_words(t)) for t in texts], pa.string())})
+
+    # The windows are cut in the tasks: what training does not use of a long text does not reach the driver.
+    return train([(r[0], r[1]) for r in rows.mapInArrow(run, "label string, text string").collect()])

@@ -215,6 +215,20 @@ def test_forward_backward():
     assert np.allclose(got, want)
 
 
+def test_crf_words_have_letters():
+    assert crf.words_of("½ ² ①② Ⅷ _ 12") == [] and crf.words_of("x² Éa2 ʰ") == ["x²", "éa", "ʰ"]
+
+
+def test_crf_samples_whole_texts():
+    """Words far behind the head of a long text are learned, and the sample stays bounded."""
+    text = "1 " * 9000 + " ".join(f"head{'a' * (i % 3)}" for i in range(3000)) + " tail" * 3000
+    words = crf.sampled_words(text)
+    assert len(words) == crf.SAMPLE_WORDS and words.count("tail") == crf.SAMPLE_WORDS // 2
+    assert crf.sampled_words(" ".join(words)) == words
+    field = crf.train([("aa", "bo bobo abo " * 9), ("cc", "1 " * 9000 + "xi xixu uxix " * 2000)] * 3)
+    assert "xixu" in field.lexicon
+
+
 def test_crf_labels_switches():
     draw = random.Random(2)
     words = {"aa": ["bo", "bobo", "abo", "obab"], "cc": ["xi", "xixu", "uxix", "iix"]}
