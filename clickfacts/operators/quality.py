@@ -10,6 +10,8 @@ from clickfacts.functions import columns as C
 from clickfacts.functions import rules
 
 VALID, INVALID, FATAL = "valid", "invalid", "fatal"
+# Column of a line frame that says why a file cannot be decoded; such a row fails its file.
+BROKEN = "broken"
 
 
 def validate(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -25,6 +27,8 @@ def validate(lines: DataFrame, line: str = "line") -> DataFrame:
     parsed = rules.with_value(lines.withColumn(line, C.strip(F.col(line))), line)
     found, fatal = rules.compiled(lines.sparkSession.sparkContext.applicationId)
     fatal = ~F.is_valid_utf8(F.col(line)) | fatal
+    if BROKEN in lines.columns:
+        fatal = F.col(BROKEN).isNotNull() | F.coalesce(fatal, F.lit(False))
     judged = parsed.select(*keep, F.col(rules.KIND), fatal.alias("_fatal"), found.alias("_errors"))
     status = F.when(F.col("_fatal"), FATAL).when(F.size("_errors") == 0, VALID).otherwise(INVALID)
     errors = F.when(F.col("_fatal"), F.array().cast(rules.ERRORS_TYPE)).otherwise(F.col("_errors"))
@@ -74,9 +78,10 @@ def number_lines(rows: DataFrame, block_index: DataFrame) -> DataFrame:
 
 
 def failed_files(checked: DataFrame, base: str = "/") -> DataFrame:
-    """Files with at least one record that cannot be processed at all."""
-    hit = checked.where(is_fatal()).groupBy("path").agg(F.count("*").alias("fatal_lines"))
-    return hit.select("path", C.object_key(F.col("path"), base).alias("failure_key"), "fatal_lines")
+    """Files with at least one record that cannot be processed at all, or that cannot be decoded: ``reason`` says why."""
+    why = F.max(BROKEN) if BROKEN in checked.columns else F.lit(None).cast("string")
+    hit = checked.where(is_fatal()).groupBy("path").agg(F.count("*").alias("fatal_lines"), why.alias("reason"))
+    return hit.select("path", C.object_key(F.col("path"), base).alias("failure_key"), "fatal_lines", "reason")
 
 
 def file_summary(checked: DataFrame, base: str = "/", files: DataFrame | None = None) -> DataFrame:

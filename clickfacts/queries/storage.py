@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfacts.functions import columns as C
-from clickfacts.operators import clean, tables
-from clickfacts.plans import daily
+from clickfacts.operators import clean, quality, tables
+from clickfacts.plans import daily, ingest
 from clickfacts.queries import sql as S
 from clickfacts.queries.registry import (
     day,
@@ -292,3 +292,96 @@ def _feeds_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in daily.FEED_TABLES.values()
     ]
     return clean.union_events(*counts)
+
+
+def _damaged(files: DataFrame) -> DataFrame:
+    """Gzip files as rows, every seventh day cut in half, the next without its magic number, the next with a bad byte."""
+
+    def run(batches):  # noqa: ANN001, ANN202
+        import gzip
+
+        import pyarrow as pa
+
+        for batch in batches:
+            made = []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                kind = int(path.rpartition("/day=")[2][:2]) % 7
+                if kind == 0:
+                    content = content[: len(content) // 2]
+                elif kind == 1:
+                    content = b"\x00" + content[1:]
+                elif kind == 2:
+                    content = gzip.compress(gzip.decompress(content) + b'{"event_type": "\xff"}\n')
+                made.append({"path": path, "length": len(content), "content": content})
+            yield pa.RecordBatch.from_pylist(made)
+
+    return files.select("path", "content").mapInArrow(run, "path string, length long, content binary")
+
+
+@query(
+    "file_isolation",
+    S.FILES + """,
+damaged AS (
+  SELECT *, CAST(string_split(date, '-')[3] AS INTEGER) % 7 AS kind FROM files
+)
+SELECT event_type, date,
+       CASE WHEN kind IN (0, 1) THEN 'undecodable' WHEN kind = 2 OR failed THEN 'unprocessable' ELSE 'read' END AS outcome,
+       CASE WHEN kind > 2 AND NOT failed THEN total END AS total,
+       CASE WHEN kind > 2 AND NOT failed THEN valid END AS valid,
+       CASE WHEN kind > 2 AND NOT failed THEN invalid END AS invalid
+FROM damaged
+""",
+)
+def _file_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of the line zone, some of them damaged: those are named, the others are complete."""
+    root = line_zone(spark, sf_dir)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    lines = raw.with_positions(raw.decoded(_damaged(files)))
+    done = ingest.Ingest(staging.stage(quality.validate(lines), "isolation"), raw.parent(root), datetime(2024, 2, 1, tzinfo=UTC))
+    failed = done.failures.select(
+        F.col("failure_key").alias("key"),
+        F.when(F.col("reason").isNotNull(), "undecodable").otherwise("unprocessable").alias("outcome"),
+        *[F.lit(None).cast("long").alias(c) for c in ("total", "valid", "invalid")],
+    )
+    read = done.summary.select("key", F.lit("read").alias("outcome"), "total", "valid", "invalid")
+    both = read.unionByName(failed)
+    key = F.col("key")
+    return both.select(C.path_event_type(key).alias("event_type"), C.path_date(key).alias("date"), "outcome", "total", "valid", "invalid").withColumn("date", day())
+
+
+@query(
+    "stream_notified",
+    S.FILES + """,
+named AS (SELECT * FROM files WHERE CAST(string_split(date, '-')[3] AS INTEGER) % 2 = 1)
+SELECT event_type, date, CASE WHEN failed THEN 'unprocessable' ELSE 'read' END AS outcome, 1::BIGINT AS times,
+       CASE WHEN NOT failed THEN total END AS total, CASE WHEN NOT failed THEN invalid END AS invalid
+FROM named
+UNION ALL SELECT event_type, '2099-01-01', 'missing', 1, NULL, NULL FROM (SELECT DISTINCT event_type FROM files)
+""",
+)
+def _stream_notified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of the odd days' files, each sent three times, of an object per type that is gone, and of reports."""
+    root = line_zone(spark, sf_dir)
+    path = staging.fresh_path(spark, "notified")
+    key = C.object_key(F.col("path"), raw.parent(root))
+    files = raw.list_files(spark, root).select(key.alias("key"), F.col("size_bytes").alias("size"))
+    named = files.where(F.dayofmonth(C.path_date(F.col("key"))) % 2 == 1)
+    kinds = files.select(C.path_event_type(F.col("key")).alias("kind")).distinct()
+    gone = kinds.select(F.concat(F.lit("raw/event_type="), "kind", F.lit("/year=2099/month=01/day=01/gone.json.gz")).alias("key"), F.lit(1).cast("long").alias("size"))
+    reports = kinds.select(F.concat(F.lit("quarantine/"), "kind", F.lit(".json")).alias("key"), F.lit(1).cast("long").alias("size"))
+    notices = named.unionByName(gone).unionByName(reports).select(F.lit("shop").alias("bucket"), F.url_encode("key").alias("key"), "size")
+    sent = notices.withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    sent.repartition(3, "turn").drop("turn").write.json(f"{path}/notices")
+    stream = spark.readStream.schema("bucket string, key string, size long").option("maxFilesPerTrigger", 1).json(f"{path}/notices")
+    bucket = root.rstrip("/").rpartition("/")[0]
+    stream_ingest.start_notified(stream, "shop", bucket, f"{path}/out", f"{path}/state").awaitTermination()
+    summary = spark.read.parquet(f"{path}/out/file_summary").select("key", F.lit("read").alias("outcome"), "total", "invalid")
+    failures = spark.read.parquet(f"{path}/out/failures").select(
+        F.col("failure_key").alias("key"), F.when(F.col("reason").isNull(), "unprocessable").otherwise("missing").alias("outcome"),
+        *[F.lit(None).cast("long").alias(c) for c in ("total", "invalid")],
+    )
+    every = summary.unionByName(failures).groupBy("key", "outcome").agg(
+        F.count("*").alias("times"), F.max("total").alias("total"), F.max("invalid").alias("invalid")
+    )
+    key = F.col("key")
+    return every.select(C.path_event_type(key).alias("event_type"), C.path_date(key).alias("date"), "outcome", "times", "total", "invalid").withColumn("date", day())

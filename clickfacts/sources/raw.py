@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import date
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,9 @@ from clickfacts import schemas
 from clickfacts.functions import columns as C
 
 PARTITIONS = ("event_type", "year", "month", "day")
+# File name patterns: compressed files, and all others.
+GZIP, PLAIN = "*.gz", "{*[^z],*[^g]z,*[^.]gz}"
+LINES = "path string, size_bytes long, block long, line string, broken string"
 _PARTITION_SCHEMA = [T.StructField(p, T.StringType()) for p in PARTITIONS]
 
 
@@ -97,6 +102,16 @@ def parent(root: str) -> str:
     return _path_of(root).rstrip("/").rpartition("/")[0] or "/"
 
 
+def folder(root: str) -> str:
+    """``root`` without scheme and host."""
+    return _path_of(root).rstrip("/") or "/"
+
+
+def escaped(path: str) -> str:
+    """A path that stands for itself where a reader takes name patterns."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
+
+
 def _event_files(df: DataFrame, path: str, root: str, base: str) -> DataFrame:
     """Leave out reports and catalogs; files are only looked at one by one where ``root`` may hold some."""
     below = _path_of(root).rstrip("/").removeprefix(base.rstrip("/")).strip("/")
@@ -110,24 +125,111 @@ def event_lines(lines: DataFrame, root: str, base: str) -> DataFrame:
     return located(_event_files(lines, "_metadata.file_path", root, base))
 
 
+def _line_decoder(piece: int = 1 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Decodes whole gzip files (path, length, content) to lines, a stretch of text at a time.
+
+    A file that does not decode to its end gives one more row, without a line, that says why. The function stands by
+    itself, so that workers need no more of this package.
+    """
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        names = ["path", "size_bytes", "block", "line", "broken"]
+
+        def rows(path: str, size: int, text: bytes, why: str | None = None) -> pa.RecordBatch:
+            data = np.frombuffer(text, np.uint8)
+            stops = np.flatnonzero((data == 10) | (data == 13))
+            ends = np.append(stops, len(data)).astype(np.int64)
+            n = len(ends)
+            # The separators stay at the end of their lines and go with the other white space.
+            bounds = np.concatenate([[0], np.minimum(ends + 1, len(data))]).astype(np.int32)
+            line = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(bounds), pa.py_buffer(text)])
+            if why is not None:
+                n, line = 1, pa.nulls(1, pa.string())
+            alike = [pa.array([v] * n, t) for v, t in ((path, pa.string()), (size, pa.int64()), (0, pa.int64()))]
+            return pa.RecordBatch.from_arrays([*alike, line, pa.array([why] * n, pa.string())], names)
+
+        for batch in batches:
+            for path, size, content in zip(*(batch.column(i) for i in range(3)), strict=True):
+                path, size = path.as_py(), size.as_py()
+                rest, text, why, members = memoryview(content.as_buffer()), [], None, 0
+                try:
+                    # Members may follow one another; zeros behind the last one are padding.
+                    while len(rest) and (not members or any(rest)):
+                        member, members = zlib.decompressobj(31), members + 1
+                        while not member.eof:
+                            found = member.decompress(rest, piece)
+                            if not found and not len(rest):
+                                raise EOFError("the file ends inside a compressed block")
+                            rest = memoryview(member.unused_data if member.eof else member.unconsumed_tail)
+                            cut = max(found.rfind(b"\n"), found.rfind(b"\r")) + 1
+                            if cut:
+                                yield rows(path, size, b"".join([*text, found[:cut]]))
+                                text = []
+                            text.append(found[cut:])
+                except (zlib.error, EOFError) as error:
+                    why = f"{type(error).__name__}: {error}"
+                if any(text):
+                    yield rows(path, size, b"".join(text))
+                if why is not None:
+                    yield rows(path, size, b"", why)
+
+    return decode
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """Lines of gzip files given as ``path, length, content`` rows; ``broken`` says why a file does not decode.
+
+    Every file is decoded inside a task, so an unreadable one stops no other. Content is one binary value and hence
+    bounded by two gigabytes of compressed data.
+    """
+    lines = files.select("path", F.col("length").cast("long"), "content").mapInArrow(_line_decoder(), LINES)
+    stripped = lines.withColumn("line", C.strip(F.col("line")))
+    return stripped.where((F.length("line") > 0) | F.col("broken").isNotNull())
+
+
+def isolated_lines(reader: Callable[[str, str], DataFrame | None], root: str, base: str) -> DataFrame:
+    """Event lines below ``root``, files that do not decode as one row each with ``broken``; without positions.
+
+    ``reader(format, pattern)`` reads the files of a name pattern, as a batch or a stream; None where there are none.
+    """
+    plain, zipped = reader("text", PLAIN), reader("binaryFile", GZIP)
+    parts = []
+    if plain is not None:
+        parts.append(event_lines(plain, root, base).withColumn("broken", F.lit(None).cast("string")))
+    if zipped is not None:
+        parts.append(decoded(_event_files(zipped, "path", root, base)))
+    if not parts:
+        return SparkSession.active().createDataFrame([], LINES)
+    return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+
+
 def read_lines(
     spark: SparkSession,
     root: str,
     base: str | None = None,
     skip_corrupt_files: bool = False,
     spread: bool = False,
+    isolate: bool = False,
 ) -> DataFrame:
     """Event lines of every file below ``root`` (gzip or plain by extension), with positions.
 
     A gzip file is read by one task however large it is. With ``spread`` all lines are dealt over the cluster once
-    they have their positions, so that the work on large files is shared.
+    they have their positions, so that the work on large files is shared. With ``isolate`` a gzip file that does not
+    decode becomes a row with ``broken`` instead of failing the scan.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
-        .text(root)
-    )
-    placed = with_positions(event_lines(lines, root, base or parent(root)))
+
+    def reader(form: str, pattern: str | None) -> DataFrame:
+        read = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", str(skip_corrupt_files).lower())
+        return (read.option("pathGlobFilter", pattern) if pattern else read).format(form).load(root)
+
+    base = base or parent(root)
+    lines = isolated_lines(reader, root, base) if isolate else event_lines(reader("text", None), root, base)
+    placed = with_positions(lines)
     return placed.hint("rebalance") if spread else placed
 
 

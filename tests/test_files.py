@@ -3,6 +3,7 @@
 import gzip
 import json
 from datetime import UTC, date, datetime
+from urllib.parse import quote_plus
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from clickfacts.functions import columns as C
 from clickfacts.operators import clean, quality
 from clickfacts.plans import daily, ingest
 from clickfacts.sources import catalog, raw, staging, star, tables
+from clickfacts.streaming.ingest import start_ingest, start_notified
 from tests.test_rules import OTHERS, line, page
 
 NOW = datetime(2026, 5, 21, 1, 2, 3, tzinfo=UTC)
@@ -231,6 +233,71 @@ def test_corrupt_file_can_be_skipped(spark, tmp_path):
         raw.read_lines(spark, str(tmp_path / "raw")).count()
 
 
+def _zone_with_damage(root):
+    """Two good files of several members and lines, and one of every kind of damage."""
+    good = "\n".join([page()] * 3).encode()
+    files = {
+        "good.json.gz": gzip.compress(good + b"\r\n") + gzip.compress(b"\n" + page().encode()) + b"\0" * 20,
+        "long.json.gz": gzip.compress(b"\n".join([page().encode()] * 30_000)),
+        "half.json.gz": gzip.compress(b"\n".join([page().encode()] * 30_000))[:-400],
+        "magic.json.gz": b"not gzip at all",
+        "nothing.json.gz": b"",
+        "tail.json.gz": gzip.compress(good) + b"rest",
+        "bytes.json.gz": gzip.compress(good + b"\n{\"event_type\": \"\xff\"}"),
+        "plain.json": good,
+    }
+    folder = root / "raw" / "event_type=page_view"
+    folder.mkdir(parents=True)
+    for name, content in files.items():
+        (folder / name).write_bytes(content)
+
+
+_READ = {"good.json.gz": 4, "long.json.gz": 30_000, "plain.json": 3}
+_FAILED = {"half.json.gz": "EOFError", "magic.json.gz": "error", "tail.json.gz": "error", "bytes.json.gz": None}
+
+
+def _outcome(summary, failures):
+    read = {r.key.rpartition("/")[2]: r.total for r in summary.collect()}
+    failed = {r.failure_key.rpartition("/")[2]: r.reason and r.reason.partition(":")[0] for r in failures.collect()}
+    return read, failed
+
+
+def test_unreadable_files_fail_alone(spark, tmp_path):
+    _zone_with_damage(tmp_path)
+    done = ingest.run(spark, str(tmp_path / "raw"), now=NOW)
+    assert _outcome(done.summary, done.failures) == (_READ, _FAILED)
+    assert done.quarantine.count() == 0 and done.valid_events.join(done.failures, "path", "left_anti").count() == sum(_READ.values())
+    numbered = quality.number_lines(done.checked, quality.blocks(done.checked))
+    rows = numbered.where("path LIKE '%long.json.gz'").agg({"line_no": "max", "path": "count"}).first()
+    assert set(rows) == {30_000}
+
+
+def test_unreadable_files_in_a_stream(spark, tmp_path):
+    _zone_with_damage(tmp_path)
+    out = str(tmp_path / "out")
+    start_ingest(spark, str(tmp_path / "raw"), out, str(tmp_path / "state"), now=NOW, files_per_batch=2).awaitTermination()
+    assert _outcome(*[spark.read.parquet(f"{out}/{t}") for t in ("file_summary", "failures")]) == (_READ, _FAILED)
+
+
+def test_notices_decide_what_is_read(spark, tmp_path):
+    """Encoded keys, a repeated notice, another bucket, a report, a missing object; files without a notice stay unread."""
+    bucket, out = tmp_path / "bucket", str(tmp_path / "out")
+    odd = "raw/event_type=click/odd {name}+[x],y.json"
+    for key in (odd, "raw/unnamed.json", "quarantine/r.json", "raw/a.json.gz"):
+        put(bucket, key, [line(OTHERS["click"])] * 2)
+    names = [odd, odd, "quarantine/r.json", "raw/gone.json", "raw/a.json.gz"]
+    notices = [{"bucket": "shop", "key": quote_plus(k)} for k in names] + [{"bucket": "other", "key": "raw/unnamed.json"}]
+    (tmp_path / "n").mkdir()
+    for i, n in enumerate([*notices, notices[0]]):
+        (tmp_path / "n" / f"{i}.json").write_text(json.dumps(n))
+    for _ in range(2):
+        stream = spark.readStream.schema("bucket string, key string").option("maxFilesPerTrigger", 3).json(str(tmp_path / "n"))
+        start_notified(stream, "shop", str(bucket), out, str(tmp_path / "state"), now=NOW).awaitTermination()
+    got = [(r.key, r.total) for r in spark.read.parquet(f"{out}/file_summary").collect()]
+    assert sorted(got) == [("raw/a.json.gz", 2), (odd, 2)]
+    assert [(r.failure_key, r.reason) for r in spark.read.parquet(f"{out}/failures").collect()] == [("raw/gone.json", "the object is missing")]
+
+
 def test_daily_job_without_rows(spark, tmp_path):
     """A day without anomalies, and one without page views: all tables are there, with their schemas."""
     root = str(tmp_path / "raw")
