@@ -56,24 +56,42 @@ def clean_page_views(raw: DataFrame) -> DataFrame:
     return unique_page_views(parse_page_views(raw))
 
 
-def clean_product_views(raw: DataFrame) -> DataFrame:
-    """Product views with a product, one per session, product and time; times are not repaired."""
-    typed = raw.na.drop(subset=["product_id"]).withColumns(
+def parse_product_views(raw: DataFrame) -> DataFrame:
+    """Typed product views with a product; times are not repaired."""
+    return raw.na.drop(subset=["product_id"]).withColumns(
         {
             "timestamp": F.try_to_timestamp("timestamp"),
             "price": C.to_double(F.col("price")),
             "time_on_page_seconds": C.to_double(F.col("time_on_page_seconds")),
         }
     )
-    return keep_one(typed, PRODUCT_VIEW_KEY, ["time_on_page_seconds", "user_id"], largest=True)
 
 
-def clean_cart_events(raw: DataFrame) -> DataFrame:
-    """Cart events with a known action, one per session, product, action and time."""
-    typed = raw.withColumns(
+def dedup_product_views(parsed: DataFrame) -> DataFrame:
+    """One view per session, product and time; the longest one survives."""
+    return keep_one(parsed, PRODUCT_VIEW_KEY, ["time_on_page_seconds", "user_id"], largest=True)
+
+
+def clean_product_views(raw: DataFrame) -> DataFrame:
+    """Product views with a product, one per session, product and time; times are not repaired."""
+    return dedup_product_views(parse_product_views(raw))
+
+
+def parse_cart_events(raw: DataFrame) -> DataFrame:
+    """Typed cart events with a known action."""
+    return raw.withColumns(
         {"timestamp": F.try_to_timestamp("timestamp"), "action": C.lower_trim(F.col("action"))}
     ).where(F.col("action").isin(*schemas.CART_ACTIONS))
-    return keep_one(typed, CART_EVENT_KEY, ["user_id"], largest=True)
+
+
+def dedup_cart_events(parsed: DataFrame) -> DataFrame:
+    """One event per session, product, action and time."""
+    return keep_one(parsed, CART_EVENT_KEY, ["user_id"], largest=True)
+
+
+def clean_cart_events(raw: DataFrame) -> DataFrame:
+    """Cart events with a known action, one per session, product, action and time."""
+    return dedup_cart_events(parse_cart_events(raw))
 
 
 def union_events(*frames: DataFrame) -> DataFrame:

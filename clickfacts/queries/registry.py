@@ -97,6 +97,24 @@ def view_zone(spark: SparkSession, sf_dir: str) -> str:
     return _zone(spark, sf_dir, "views", lambda root: raw.write_raw(views, root, F.col("date")))
 
 
+def scattered_zone(spark: SparkSession, sf_dir: str, kind: str, together: bool = False) -> str:
+    """Events of one type in two files to a type and day (products: year); copies lie apart unless ``together``.
+
+    Page views of some minutes have no day: their path names no date.
+    """
+    if kind == "page_view":
+        frame = star.raw_page_views(events(spark, sf_dir))
+        undated = F.minute(F.try_to_timestamp("timestamp")) % 13 == 0
+        frame = frame.withColumn("date", F.when(~undated, F.col("date")))
+    else:
+        lines, orders = (star.fact_table(spark, sf_dir, t) for t in ("lineitem", "orders"))
+        frame = {"product_view": star.raw_product_views, "cart_event": star.raw_cart_events}[kind](lines, orders)
+        frame = frame.withColumn("date", F.trunc("date", "year"))
+    by = ["session_id", "page_url", "timestamp"] if together else frame.columns
+    name = f"{'together' if together else 'apart'}-{kind}"
+    return _zone(spark, sf_dir, name, lambda root: raw.write_scattered(frame, root, F.col("date"), 2, by))
+
+
 def stored_fact(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """A fact over the page views as a table partitioned by day, written once and read back."""
     df = build(page_views(spark, sf_dir))

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from clickfacts.functions import columns as C
 from clickfacts.operators import clean, quality, tables
 from clickfacts.plans import daily, ingest
+from clickfacts.queries import facts  # noqa: F401  (its SQL is used here)
 from clickfacts.queries import sql as S
 from clickfacts.queries.registry import (
+    ORACLES,
     day,
     events,
     ingested,
     line_zone,
     query,
     rounded,
+    scattered_zone,
     typed_zone,
     view_zone,
 )
@@ -26,7 +29,8 @@ from clickfacts.streaming import ingest as stream_ingest
 from clickfacts.streaming import pageviews
 
 SCAN_DAY = date(2024, 1, 10)
-FILES_PER_BATCH = 12
+# Files of a micro-batch: of a day's zone, and of a year's.
+FILES_PER_BATCH, FEED_FILES_PER_BATCH = 24, 5
 
 _KIND = """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'click' WHEN 'signup' THEN 'search'
               WHEN 'purchase' THEN 'product_view' ELSE 'cart_event' END"""
@@ -229,36 +233,64 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("date", day())
 
 
-def _view_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the view zone in several micro-batches, their days in no order."""
-    return clean.parse_page_views(raw.stream_events(spark, view_zone(spark, sf_dir), "page_view", FILES_PER_BATCH))
+def _feed_stream(spark: SparkSession, sf_dir: str, kind: str, files: int, together: bool = False) -> DataFrame:
+    """The files of a scattered zone in several micro-batches, their days in no order."""
+    return raw.stream_events(spark, scattered_zone(spark, sf_dir, kind, together), kind, files)
+
+
+def _unique(spark: SparkSession, sf_dir: str, kind: str, files: int) -> DataFrame:
+    out = staging.fresh_path(spark, f"stream-{kind}")
+    pageviews.start_unique(_feed_stream(spark, sf_dir, kind, files), kind, out, f"{out}-state").awaitTermination()
+    return pageviews.read_unique(spark, out, kind).withColumn("date", day())
+
+
+# Page views as in a batch, those of some minutes without a day.
+_UNDATED = """
+SELECT CASE WHEN minute(ts) % 13 <> 0 THEN date END AS date, """
 
 
 @query(
     "stream_dedup",
-    S.PV + "SELECT date, session_id, page_url, count(*) AS views FROM pv GROUP BY ALL",
+    S.PV + _UNDATED + """session_id, page_url, user_id, page_type,
+       greatest(coalesce(seconds_1, seconds_2), coalesce(seconds_2, seconds_1))::DOUBLE AS time_on_page_seconds
+FROM pv JOIN (SELECT event_id, seconds_1, seconds_2 FROM first_copy) USING (event_id)
+""",
 )
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = staging.fresh_path(spark, "stream-dedup")
-    pageviews.start_views(_view_stream(spark, sf_dir), out, f"{out}-state").awaitTermination()
-    views = spark.read.parquet(out).groupBy("date", "session_id", "page_url").agg(F.count("*").alias("views"))
-    return views.withColumn("date", day())
+    """Unique page views, copies in different micro-batches; the longest one survives as in a batch."""
+    return _unique(spark, sf_dir, "page_view", FILES_PER_BATCH).select(
+        "date", "session_id", "page_url", "user_id", "page_type", "time_on_page_seconds"
+    )
+
+
+_BY_YEAR = "strftime(date_trunc('year', CAST(date AS DATE)), '%Y-%m-%d') AS date"
+
+
+@query("stream_dedup_products", f"SELECT * REPLACE ({_BY_YEAR}) FROM ({ORACLES['dedup_product_views']}) dated")
+def _stream_dedup_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unique(spark, sf_dir, "product_view", FEED_FILES_PER_BATCH).select(
+        "date", "session_id", "product_id", "user_id", "category", "price", "time_on_page_seconds"
+    )
+
+
+@query("stream_dedup_carts", f"SELECT * REPLACE ({_BY_YEAR}) FROM ({ORACLES['dedup_cart_events']}) dated")
+def _stream_dedup_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unique(spark, sf_dir, "cart_event", FEED_FILES_PER_BATCH).select("date", "session_id", "product_id", "action", "user_id")
 
 
 @query(
     "stream_page_stats",
-    S.PAGE_STATS + """
-SELECT date, page_url, page_type, round(avg_time_on_page_seconds, 4) AS avg_time_on_page_seconds, total_views,
-       unique_sessions
-FROM page_stats
+    S.PV + _UNDATED + """page_url, page_type, round(avg(seconds), 4) AS avg_time_on_page_seconds, count(*) AS total_views,
+       count(DISTINCT session_id) AS unique_sessions
+FROM pv GROUP BY ALL
 """,
 )
 def _stream_page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of all days, kept up to date over several micro-batches."""
+    """Statistics of all views, undated ones included, added up over several micro-batches."""
     out = staging.fresh_path(spark, "stream-stats")
-    views = _view_stream(spark, sf_dir)
-    pageviews.start_page_stats(views, f"{out}-views", out, f"{out}-state").awaitTermination()
-    return spark.read.parquet(out).select(
+    views = clean.parse_page_views(_feed_stream(spark, sf_dir, "page_view", FILES_PER_BATCH, together=True))
+    pageviews.start_page_stats(views, out, f"{out}-state").awaitTermination()
+    return pageviews.read_page_stats(spark, out).select(
         day(), "page_url", "page_type", rounded("avg_time_on_page_seconds"), "total_views", "unique_sessions"
     )
 

@@ -266,6 +266,14 @@ def write_raw(events: DataFrame, root: str, day: Column | None = None) -> None:
     _write_text(events.select(payload.alias("value"), F.col("event_type"), *raw_partitions(on)), root)
 
 
+def write_scattered(events: DataFrame, root: str, day: Column, files: int, by: Sequence[str]) -> None:
+    """``write_raw`` with the events of a type and day dealt over up to ``files`` files by the columns ``by``."""
+    payload = F.to_json(F.struct(*[F.col(c) for c in events.columns]))
+    dealt = events.withColumn("_file", F.pmod(F.xxhash64(*by), F.lit(files)))
+    lines = dealt.select(payload.alias("value"), F.col("event_type"), *raw_partitions(day), "_file").repartitionByRange(files, "_file")
+    lines.drop("_file").write.mode("overwrite").partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+
+
 def write_lines(lines: DataFrame, root: str, order: Sequence[str], whole: bool = False) -> None:
     """Ready-made text lines (``value``) into the raw layout, in the given order inside every file.
 
