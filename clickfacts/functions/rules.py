@@ -32,6 +32,10 @@ ISO_TEXT = (
 )
 
 
+# Fixed value: the words for numbers that are not finite; the field parser shows such a number in quotes.
+NON_FINITE = ("NaN", "Infinity", "-Infinity")
+_BARE = r"(?<![^:,\[\s])(NaN|-?Infinity)(?![^,\]}\s])"
+
 VALUE = "_value"
 KIND = "_kind"
 _FIELDS = "_fields"
@@ -47,15 +51,20 @@ def with_value(df: DataFrame, line: str) -> DataFrame:
     last character of the line cannot be followed by anything. Other lines are parsed inside an array and inside an
     object instead: text after the value breaks at least one of the two wrappings, and a second array element shows
     a bare comma.
+
+    Numbers that are not finite are no JSON for the parser. In lines that name one they stand as ``null`` while the line
+    is parsed; their text, which only they have beside a ``null`` type, says what they are.
     """
-    text = F.col(line)
+    given = F.col(line)
+    named = F.contains(given, F.lit("NaN")) | F.contains(given, F.lit("Infinity"))
+    text = F.when(named, F.regexp_replace(given, _BARE, "null")).otherwise(given)
     flat = F.startswith(text, F.lit("{")) & (F.instr(text, "}") == F.length(text))
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     alone = in_object.isNotNull() & F.try_variant_get(F.col(_ARRAY), "$[1]", "variant").isNull()
     value = F.when(flat, F.try_parse_json(text)).when(alone, F.try_variant_get(F.col(_ARRAY), "$[0]", "variant"))
     names = merged_order(schemas.REQUIRED_FIELDS.values())
-    fields = F.from_json(text, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    fields = F.from_json(given, T.StructType([T.StructField(n, T.StringType()) for n in names]))
     kind = F.when(
         F.col(VALUE).isNotNull() & F.startswith(text, F.lit("{")) & _text("event_type").isin(*schemas.EVENT_TYPES),
         _text("event_type"),
@@ -105,9 +114,16 @@ def _kind_in(kinds: Iterable[str]) -> Column:
     return F.expr(f"{KIND} IN ({', '.join(repr(k) for k in kinds)})")
 
 
+def _non_finite(name: str) -> Column:
+    """Whether the field is a bare NaN or infinity."""
+    quoted = [f'"{n}"' for n in NON_FINITE]
+    return F.coalesce(_text(name).isin(*quoted), F.lit(False)) & ~_is(name, "STRING")
+
+
 def _number(name: str) -> Column:
     """Float value the way a dynamic consumer converts it: numbers, booleans and numeric text."""
     grouped = F.replace(_text(name), F.lit("_"), F.lit(""))
+    grouped = F.when(_non_finite(name), F.replace(grouped, F.lit('"'), F.lit(""))).otherwise(grouped)
     return F.coalesce(F.expr(f"try_variant_get({VALUE}, '$.{name}', 'double')"), grouped.try_cast("double"))
 
 
@@ -124,6 +140,7 @@ def number_text(number: Column) -> Column:
         F.when((size >= 1e-4) & (size < 1e16) & ~((size >= 1e-3) & (size < 1e7)), plain)
         .when(exponent.isNotNull(), F.concat(mantissa, power))
         .when(size == float("inf"), F.when(number > 0, "inf").otherwise("-inf"))
+        .when(F.isnan(number), "nan")
         .otherwise(text)
     )
 
@@ -131,7 +148,7 @@ def number_text(number: Column) -> Column:
 def _shown(name: str) -> Column:
     """Value as it appears in an error text."""
     kind, text = _type(name), _text(name)
-    return F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(F.coalesce(text, kind))
+    return F.when(_non_finite(name), number_text(_number(name))).when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(F.coalesce(text, kind))
 
 
 def _type_shown(name: str) -> Column:
@@ -246,7 +263,8 @@ def truthy(name: str) -> Column:
     """Dynamic-language truth of a field: absent, null, "", 0, false, [] and {} are false."""
     kind, text = _type(name), _text(name)
     return (
-        F.when(kind.isNull() | (kind == "VOID"), F.lit(False))
+        F.when(_non_finite(name), F.lit(True))
+        .when(kind.isNull() | (kind == "VOID"), F.lit(False))
         .when(kind == "STRING", text != "")
         .when(kind == "BOOLEAN", text == "true")
         .when(_is(name, "ARRAY"), F.try_variant_get(F.col(VALUE), f"$.{name}[0]", "variant").isNotNull())

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickfacts.functions import columns as C
@@ -22,6 +23,20 @@ class Ingest:
     base: str
     now: datetime
     files: DataFrame | None = None
+    #: What the writes of the summary and the failures saw; filled by ``write``.
+    seen: dict[str, Observation] = field(default_factory=dict)
+
+    @property
+    def totals(self) -> dict[str, float]:
+        """Totals of the metrics, observed while ``write`` wrote its tables: they cost no job of their own."""
+        if not self.seen:
+            raise ValueError("totals are observed by write()")
+        found = {**self.seen["summary"].get, **self.seen["failures"].get}
+        return {name: float(value or 0) for name, value in found.items()}
+
+    def _observed(self, name: str, df: DataFrame, **totals: Column) -> DataFrame:
+        self.seen[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return df.observe(self.seen[name], *[c.alias(n) for n, c in totals.items()])
 
     @property
     def summary(self) -> DataFrame:
@@ -67,8 +82,17 @@ class Ingest:
         A repeated run over the same files replaces all but the metrics, which are a log and are appended.
         """
         out = out.rstrip("/")
-        self.summary.write.mode("overwrite").parquet(f"{out}/file_summary")
-        self.failures.write.mode("overwrite").parquet(f"{out}/failures")
+        summary = self._observed(
+            "summary",
+            self.summary,
+            FilesProcessed=F.count("*"),
+            RecordsValid=F.sum("valid"),
+            RecordsInvalid=F.sum("invalid"),
+            FileSizeBytes=F.sum("size_bytes"),
+        )
+        summary.write.mode("overwrite").parquet(f"{out}/file_summary")
+        failures = self._observed("failures", self.failures, ProcessingErrors=F.count("*"))
+        failures.write.mode("overwrite").parquet(f"{out}/failures")
         tables.write_reports(self.reports, f"{out}/reports", "overwrite")
         self.quarantine.write.mode("overwrite").partitionBy("event_type", "date").parquet(f"{out}/quarantine")
         tables.append_table(self.metrics, f"{out}/metrics")

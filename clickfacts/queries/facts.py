@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfacts.functions import columns as C
-from clickfacts.operators import clean, pages, sessions
+from clickfacts.operators import clean, pages, sessions, sketches
 from clickfacts.queries import sql as S
-from clickfacts.queries.registry import day, events, page_views, query, rounded
+from clickfacts.queries.registry import day, events, page_views, query, rounded, stored_fact
 from clickfacts.sources import star
 
 
@@ -265,3 +265,80 @@ def _rapid_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.rapid_clicks(star.clicks(events(spark, sf_dir))).select(
         day(), "session_id", "user_id", "anomaly_type", rounded("z_score"), "metric_value"
     )
+
+
+def _week(c: str = "date") -> Column:
+    return F.date_format(F.date_trunc("week", F.col(c)), "yyyy-MM-dd").alias("week")
+
+
+@query(
+    "quartiles_by_week",
+    S.PV + """
+SELECT strftime(date_trunc('week', CAST(date AS DATE)), '%Y-%m-%d') AS week, page_type, count(*) AS n,
+       true AS q25_holds, true AS q50_holds, true AS q75_holds
+FROM pv GROUP BY ALL
+""",
+)
+def _quartiles_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of page time per week and type from stored daily summaries, held against the exact ranks of all views."""
+    views = page_views(spark, sf_dir)
+    daily = stored_fact(
+        spark, sf_dir, "time-quantiles", lambda pv: sketches.quantile_sketches(pv, "time_on_page_seconds", ["date", "page_type"])
+    )
+    parts = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    merged = sketches.merge_quantiles(daily.withColumn("week", _week()), ["week", "page_type"])
+    found = merged.select("week", F.col("page_type").alias("_type"), *[sketches.quantile(p).alias(q) for q, p in parts.items()])
+    timed = views.select(_week(), "page_type", F.col("time_on_page_seconds").alias("t"))
+    held = timed.withColumnRenamed("week", "_week").join(
+        found, (F.col("_week") == F.col("week")) & F.col("page_type").eqNullSafe(F.col("_type"))
+    )
+    ranks = [c for q in parts for c in (F.avg((F.col("t") < F.col(q)).cast("int")).alias(f"{q}_lo"), F.avg((F.col("t") <= F.col(q)).cast("int")).alias(f"{q}_hi"))]
+    ranked = held.groupBy("week", "page_type").agg(F.count("*").alias("n"), *ranks)
+    # The quantile's rank is a range where its value repeats.
+    holds = [
+        ((F.col(f"{q}_lo") - F.lit(p) <= sketches.RANK_ERROR) & (F.lit(p) - F.col(f"{q}_hi") <= sketches.RANK_ERROR)).alias(f"{q}_holds")
+        for q, p in parts.items()
+    ]
+    return ranked.select("week", "page_type", "n", *holds)
+
+
+@query(
+    "visitors_by_week",
+    S.PV + """,
+weekly AS (
+  SELECT strftime(date_trunc('week', CAST(date AS DATE)), '%Y-%m-%d') AS week, page_url, user_id,
+         count(*) FILTER (isodow(CAST(date AS DATE)) <= 3) > 0 AND count(*) FILTER (isodow(CAST(date AS DATE)) > 3) > 0 AS back
+  FROM pv GROUP BY ALL
+),
+everyone AS (
+  SELECT strftime(date_trunc('week', CAST(date AS DATE)), '%Y-%m-%d') AS week, '(all)' AS page_url, user_id,
+         count(*) FILTER (isodow(CAST(date AS DATE)) <= 3) > 0 AND count(*) FILTER (isodow(CAST(date AS DATE)) > 3) > 0 AS back
+  FROM pv GROUP BY ALL
+)
+SELECT week, page_url, count(*) AS visitors, count(*) FILTER (back) AS returning, true AS visitors_hold, true AS returning_hold
+FROM (SELECT * FROM weekly UNION ALL SELECT * FROM everyone) GROUP BY ALL
+""",
+)
+def _visitors_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors per url and week, and those of both its halves: exact, and whether stored daily summaries agree."""
+    views = page_views(spark, sf_dir)
+    daily = stored_fact(spark, sf_dir, "visitors", lambda pv: sketches.distinct_sketches(pv, "user_id", ["date", "page_url"]))
+    half = F.when(F.weekday("date") < 3, "first").otherwise("second").alias("half")
+    paged = sketches.merge_distinct(daily.withColumns({"week": _week(), "half": half}), ["week", "half", "page_url"])
+    parts = paged.unionByName(sketches.merge_distinct(paged, ["week", "half"]).withColumn("page_url", F.lit("(all)")))
+    halves = [parts.where(F.col("half") == h).drop("half") for h in ("first", "second")]
+    both = sketches.returning(*halves, ["week", "page_url"]).select(
+        "week", "page_url", sketches.distinct_count().alias("back"), sketches.distinct_count("union").alias("of")
+    )
+    estimates = sketches.merge_distinct(parts, ["week", "page_url"]).select("week", "page_url", sketches.distinct_count().alias("people"))
+    # The exact form: one row per week, page and visitor.
+    pages_of = views.select(_week(), F.explode(F.array("page_url", F.lit("(all)"))).alias("page_url"), "user_id", half)
+    seen = pages_of.groupBy("week", "page_url", "user_id").agg(F.count_distinct("half").alias("halves"))
+    exact = seen.groupBy("week", "page_url").agg(F.count("*").alias("visitors"), F.count_if(F.col("halves") == 2).alias("returning"))
+    error = sketches.distinct_error()
+    joined = exact.join(estimates, ["week", "page_url"], "left").join(both, ["week", "page_url"], "left").na.fill(0)
+    return joined.select(
+        "week", "page_url", "visitors", "returning",
+        (F.abs(F.col("people") - F.col("visitors")) <= F.col("visitors") * error).alias("visitors_hold"),
+        (F.abs(F.col("back") - F.col("returning")) <= F.col("of") * error).alias("returning_hold"),
+    )

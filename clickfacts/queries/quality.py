@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from clickfacts import schemas
 from clickfacts.functions import columns as C
 from clickfacts.operators import quality
 from clickfacts.queries import sql as S
-from clickfacts.queries.registry import checked_lines, day, events, ingested, query, weekly_zone
-from clickfacts.sources import star
+from clickfacts.plans import ingest
+from clickfacts.queries.registry import checked_lines, day, events, ingested, line_zone, query, weekly_zone
+from clickfacts.sources import raw, staging, star
 
 
 def _codes(*only: str) -> Column:
@@ -318,3 +321,55 @@ def _quarantine_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(spark, sf_dir).select(
         "event_id", C.quarantine_key(F.col("key"), F.col("ts")).alias("quarantine_key")
     )
+
+
+@query(
+    "validate_nonfinite",
+    """
+SELECT event_id, CASE WHEN event_id % 6 < 3 THEN 'RANGE:time_on_page_seconds' WHEN event_id % 6 = 5 THEN 'ENUM:page_type' ELSE '' END AS codes,
+       CASE WHEN event_id % 6 < 3 THEN 'out of range time_on_page_seconds: ' ||
+                 (['nan', 'inf', '-inf'])[CAST(event_id % 6 AS INTEGER) + 1] || ' not in [0, 86400]' END AS message
+FROM events
+""",
+)
+def _validate_nonfinite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a page view with NaN or an infinity: in a ruled field, in others, inside text and for a word."""
+    word = F.element_at(F.array(*[F.lit(w) for w in ("NaN", "Infinity", "-Infinity")]), (F.col("event_id") % 3 + 1).cast("int"))
+    case = F.col("event_id") % 6
+    text = F.concat(
+        F.lit('{"event_type": "page_view", "user_id": "U", "session_id": "S", "page_url": "/", "timestamp": "2026-05-20", '),
+        F.lit('"referrer": "r", "device_type": "mobile", "country": "CO", "time_on_page_seconds":'),
+        F.when(case < 3, word).otherwise(F.lit("5")),
+        F.lit(', "page_type": '), F.when(case == 5, word).otherwise(F.lit('"home"')),
+        F.lit(', "score": '), F.when(case == 3, F.concat(F.lit("[1,"), word, F.lit("]"))).otherwise(F.concat(F.lit('"a, '), word, F.lit(', b"'))),
+        F.lit("}"),
+    )
+    checked = quality.validate(events(spark, sf_dir).select("event_id", text.alias("line")))
+    message = F.when(case < 3, F.try_element_at("errors", F.lit(1))["message"])
+    return checked.select("event_id", _codes().alias("codes"), message.alias("message"))
+
+
+@query(
+    "ingest_totals",
+    S.FILES + """
+SELECT 'FilesProcessed' AS name, count(*) FILTER (NOT failed)::DOUBLE AS value, true AS agrees FROM files
+UNION ALL SELECT 'RecordsValid', coalesce(sum(valid) FILTER (NOT failed), 0)::DOUBLE, true FROM files
+UNION ALL SELECT 'RecordsInvalid', coalesce(sum(invalid) FILTER (NOT failed), 0)::DOUBLE, true FROM files
+UNION ALL SELECT 'FileSizeBytes', NULL, true FROM (SELECT 1)
+UNION ALL SELECT 'ProcessingErrors', count(*) FILTER (failed)::DOUBLE, true FROM files
+""",
+)
+def _ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals observed while an ingest wrote its tables, and whether the metrics and the listed files agree with them."""
+    root, out = line_zone(spark, sf_dir), staging.fresh_path(spark, "totals")
+    done = ingest.run(spark, root, now=datetime(2024, 2, 1, tzinfo=UTC), out=out)
+    totals = spark.createDataFrame(list(done.totals.items()), "name string, value double")
+    points = spark.read.parquet(f"{out}/metrics").groupBy("name").agg(F.sum("value").alias("points"))
+    # Sizes once more from the listing: of the files that the summary holds.
+    kept = spark.read.parquet(f"{out}/file_summary").select("path")
+    listed = raw.list_files(spark, root).join(kept, "path", "left_semi").agg(F.sum("size_bytes").cast("double").alias("listed"))
+    sizes = listed.select(F.lit("FileSizeBytes").alias("name"), "listed")
+    size = F.col("name") == "FileSizeBytes"
+    agrees = (F.col("value") == F.coalesce("points", F.lit(0.0))) & (~size | (F.col("value") == F.col("listed")))
+    both = totals.join(points, "name", "left").join(sizes, "name", "left")
+    return both.select("name", F.when(~size, F.col("value")).alias("value"), agrees.alias("agrees"))

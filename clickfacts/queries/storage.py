@@ -417,3 +417,21 @@ def _stream_notified(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     key = F.col("key")
     return every.select(C.path_event_type(key).alias("event_type"), C.path_date(key).alias("date"), "outcome", "times", "total", "invalid").withColumn("date", day())
+
+
+@query(
+    "enrich_hot_user",
+    """
+WITH e AS (SELECT CASE WHEN event_id % 2 = 0 THEN 7 WHEN event_id % 3 <> 0 THEN user_id END AS user_id FROM events)
+SELECT n_name AS country, CASE WHEN c_custkey IS NOT NULL THEN (['mobile', 'desktop', 'tablet'])[CAST(user_id % 3 AS INTEGER) + 1] END
+         AS device_type, count(*) AS events
+FROM e LEFT JOIN customer ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL
+""",
+)
+def _enrich_hot_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user holds half of all events, a sixth has none: country and device by user."""
+    hot = F.when(F.col("event_id") % 2 == 0, F.lit(7)).when(F.col("event_id") % 3 != 0, F.col("user_id"))
+    given = star.fact_table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("USR-"), hot).alias("user_id"))
+    users = star.users(star.table(spark, sf_dir, "customer"), star.table(spark, sf_dir, "nation"))
+    found = tables.enrich(given, users, "user_id", ["country", "device_type"], tables.hot_keys(given, "user_id"))
+    return found.groupBy("country", "device_type").agg(F.count("*").alias("events"))

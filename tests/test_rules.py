@@ -132,7 +132,21 @@ CASES = [
     ]),
     (page()[:-1] + ',"country":"MX"}', []),
     (page()[:-1] + ',"country":""}', ["REQUIRED:country"]),
-    (page(**{TIME: float("nan")}), ["INVALID_JSON"]),
+    (page(**{TIME: float("nan")}), [f"RANGE:{TIME}"]),
+    (page(**{TIME: float("-inf")}), [f"RANGE:{TIME}"]),
+    (page(**{TIME: "Infinity"}), [f"TYPE:{TIME}", f"RANGE:{TIME}"]),
+    (page(score=float("nan"), more=[1, float("inf"), {"a": float("-inf")}]), []),
+    (page(note="a, NaN, b: Infinity ]", NaN=float("nan")), []),
+    (page(country=float("nan")), []),
+    (page(page_type=float("inf")), ["ENUM:page_type"]),
+    (page(timestamp=float("nan")), "fatal"),
+    (page(event_type=float("nan")), ["UNKNOWN_EVENT_TYPE:event_type"]),
+    (page(score="@").replace('"@"', "+Infinity"), ["INVALID_JSON"]),
+    (page(score="@").replace('"@"', "NaNs"), ["INVALID_JSON"]),
+    (page(score="@").replace('"@"', "nan"), ["INVALID_JSON"]),
+    (page(score=float("nan")) + " NaN", ["INVALID_JSON"]),
+    ("NaN", "fatal"),
+    (" [Infinity]", "fatal"),
     (
         page(country=DROP, page_type="x", timestamp="zz", **{TIME: -1}),
         ["REQUIRED:country", f"RANGE:{TIME}", "ENUM:page_type", "TIMESTAMP:timestamp"],
