@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from clickfacts.functions import columns as C
 from clickfacts.functions import rules
+from clickfacts.session import expression_code
+from clickfacts.sources import staging
 
 VALID, INVALID, FATAL = "valid", "invalid", "fatal"
 # Column of a line frame that says why a file cannot be decoded; such a row fails its file.
@@ -36,6 +38,16 @@ def validate(lines: DataFrame, line: str = "line") -> DataFrame:
     return judged.select(*keep, F.inline(F.array(outcome)))
 
 
+def stage_validated(lines: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``validate`` written once and read back.
+
+    The checks of all event types are more code than one method can hold, so the write compiles them one by one.
+    """
+    checked = validate(lines)
+    with expression_code(lines.sparkSession):
+        return staging.stage(checked, name, path)
+
+
 def is_valid() -> Column:
     return F.col("status") == VALID
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clickfacts.functions import columns as C
 from clickfacts.operators import quality
 from clickfacts.session import configure
-from clickfacts.sources import raw, staging, tables
+from clickfacts.sources import raw, tables
 
 
 @dataclass(frozen=True)
@@ -94,7 +94,8 @@ class Ingest:
         failures = self._observed("failures", self.failures, ProcessingErrors=F.count("*"))
         failures.write.mode("overwrite").parquet(f"{out}/failures")
         tables.write_reports(self.reports, f"{out}/reports", "overwrite")
-        self.quarantine.write.mode("overwrite").partitionBy("event_type", "date").parquet(f"{out}/quarantine")
+        quarantined = self.quarantine.hint("rebalance", F.col("event_type"), F.col("date"))
+        quarantined.write.mode("overwrite").partitionBy("event_type", "date").parquet(f"{out}/quarantine")
         tables.append_table(self.metrics, f"{out}/metrics")
         self.write_feed(f"{out}/feed")
 
@@ -119,7 +120,7 @@ def run(
     configure(spark)
     base = raw.parent(root) if base is None else base
     lines = raw.read_lines(spark, root, base, spread=spread, isolate=isolate)
-    checked = staging.stage(quality.validate(lines), "checked", checked_path)
+    checked = quality.stage_validated(lines, "checked", checked_path)
     files = raw.list_files(spark, root, base) if with_empty_files else None
     done = Ingest(checked, base, now or datetime.now(UTC), files)
     if out:

@@ -177,11 +177,12 @@ def bounce_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.bounce_rate(page_views(spark, sf_dir)).select(day(), "page_type", "total", "bounces", "bounce_rate")
 
 
-@query("bounce_rate_join", _BOUNCE_SQL)
+@query("bounce_rate_join", _BOUNCE_SQL + "UNION ALL SELECT DISTINCT date, 'unseen', 0, 0, 0.0 FROM pv")
 def _bounce_rate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.bounce_rate_join(page_views(spark, sf_dir)).select(
-        day(), "page_type", "total", "bounces", "bounce_rate"
-    )
+    """A row for every type of a day and for one that no session saw."""
+    views = page_views(spark, sf_dir)
+    seen = views.select("date", F.explode(F.array("page_type", F.lit("unseen"))).alias("page_type")).distinct()
+    return pages.complete(pages.bounce_rate(views), seen).select(day(), "page_type", "total", "bounces", "bounce_rate")
 
 
 @query("session_time", S.SESSION_TIME + "SELECT date, session_id, user_id, total_time FROM st")

@@ -95,28 +95,34 @@ def _error_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "error_messages",
-    S.LINES + """
-SELECT event_id, CASE
-    WHEN fault = 6 THEN 'missing field: event_type'
-    WHEN fault = 5 THEN 'unknown event_type: purchase'
-    WHEN fault = 3 THEN 'missing or empty field: user_id'
-    WHEN fault = 4 THEN 'missing or empty field: session_id'
-    WHEN fault = 7 THEN 'wrong type for ' || num || ': expected (<class ''int''>, <class ''float''>), got <class ''str''>'
-    WHEN fault = 8 THEN 'out of range ' || num || ': -1.0 not in [0, ' ||
-         CASE num WHEN 'time_on_page_seconds' THEN '86400' WHEN 'x_position' THEN '7680' WHEN 'results_count' THEN '10000'
-                  ELSE '100000' END || ']'
-    WHEN fault = 11 THEN 'invalid timestamp format: 2026-13-01T00:00:00Z'
-    WHEN fault = 10 AND enum = 'action' THEN 'invalid value for action: ''ADD'' not in [''add'', ''remove'']'
+    S.LINES + """,
+flat AS (
+  SELECT event_id, fault, unnest(string_split(codes, '|')) AS c, unnest(range(1, len(string_split(codes, '|')) + 1)) AS nth
+  FROM lines WHERE codes <> ''
+),
+named AS (SELECT *, string_split(c, ':')[1] AS code, string_split(c, ':')[2] AS field FROM flat)
+SELECT event_id, nth, CASE code
+    WHEN 'INVALID_JSON' THEN 'invalid JSON'
+    WHEN 'MISSING_EVENT_TYPE' THEN 'missing field: event_type'
+    WHEN 'UNKNOWN_EVENT_TYPE' THEN 'unknown event_type: purchase'
+    WHEN 'REQUIRED' THEN 'missing or empty field: ' || field
+    WHEN 'TYPE' THEN 'wrong type for ' || field || ': expected (<class ''int''>, <class ''float''>), got <class ''str''>'
+    WHEN 'RANGE' THEN 'out of range ' || field || ': ' || CASE fault WHEN 9 THEN '-5.0' ELSE '-1.0' END || ' not in [0, ' ||
+         CASE field WHEN 'time_on_page_seconds' THEN '86400' WHEN 'x_position' THEN '7680' WHEN 'results_count' THEN '10000'
+                    ELSE '100000' END || ']'
+    WHEN 'ENUM' THEN 'invalid value for ' || field || ': ''' ||
+         CASE fault WHEN 12 THEN 'None' WHEN 13 THEN 'x' ELSE CASE field WHEN 'action' THEN 'ADD' ELSE 'HOME' END END ||
+         ''' not in [' || CASE field WHEN 'action' THEN '''add'', ''remove'''
+                          ELSE '''home'', ''category'', ''product'', ''cart'', ''checkout'', ''search'', ''other''' END || ']'
+    WHEN 'TIMESTAMP' THEN 'invalid timestamp format: ' || CASE fault WHEN 13 THEN 'zz' ELSE '2026-13-01T00:00:00Z' END
   END AS message
-FROM lines WHERE codes <> '' AND fault IN (3, 4, 5, 6, 7, 8, 11) OR codes <> '' AND fault = 10 AND enum = 'action'
+FROM named
 """,
 )
 def _error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of the records with a single error, JSON errors and page types left out."""
-    lines = checked_lines(spark, sf_dir).where(F.size("errors") == 1)
-    first = F.col("errors")[0]
-    simple = (first["code"] != "INVALID_JSON") & F.coalesce(first["field"] != "page_type", F.lit(True))
-    return lines.where(simple & (F.col("fault") != 13)).select("event_id", first["message"].alias("message"))
+    """The text of every error of every record, in reporting order."""
+    flat = checked_lines(spark, sf_dir).select("event_id", F.posexplode("errors").alias("place", "error"))
+    return flat.select("event_id", (F.col("place") + 1).cast("long").alias("nth"), F.col("error.message").alias("message"))
 
 
 def _file_keys() -> list[Column]:
@@ -344,7 +350,7 @@ def _validate_nonfinite(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(', "score": '), F.when(case == 3, F.concat(F.lit("[1,"), word, F.lit("]"))).otherwise(F.concat(F.lit('"a, '), word, F.lit(', b"'))),
         F.lit("}"),
     )
-    checked = quality.validate(events(spark, sf_dir).select("event_id", text.alias("line")))
+    checked = quality.stage_validated(events(spark, sf_dir).select("event_id", text.alias("line")), "nonfinite")
     message = F.when(case < 3, F.try_element_at("errors", F.lit(1))["message"])
     return checked.select("event_id", _codes().alias("codes"), message.alias("message"))
 

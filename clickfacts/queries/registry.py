@@ -129,7 +129,7 @@ def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as validated lines: parsed once, stored, and read by column."""
     key = (spark.sparkContext.applicationId, sf_dir, *_state(spark, sf_dir))
     if key not in _CHECKED:
-        _CHECKED[key] = staging.stage(quality.validate(star.raw_lines(events(spark, sf_dir))), "checked-lines")
+        _CHECKED[key] = quality.stage_validated(star.raw_lines(events(spark, sf_dir)), "checked-lines")
     return _CHECKED[key]
 
 

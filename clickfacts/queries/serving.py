@@ -14,7 +14,7 @@ from clickfacts.sources import tables as writes
 
 # The reported day, country and device of the registered queries.
 DAY = "2024-01-15"
-COUNTRY = "co"
+COUNTRY = "n7"
 DEVICE = "Mobile"
 
 
@@ -80,7 +80,7 @@ def _sessions_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sessions_summary_filtered",
-    S.SESSION_SUMMARY + f"SELECT {_SUMMARY_COLUMNS} FROM session_summary WHERE date = '{DAY}' AND country = 'CO'",
+    S.SESSION_SUMMARY + f"SELECT {_SUMMARY_COLUMNS} FROM session_summary WHERE date = '{DAY}' AND country = 'N7'",
 )
 def _sessions_summary_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.sessions_summary(_summary(spark, sf_dir), DAY, country=COUNTRY)

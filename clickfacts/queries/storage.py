@@ -125,31 +125,37 @@ ranked AS (
             ORDER BY avg_time_on_page_seconds DESC, page_url NULLS FIRST, page_type NULLS FIRST) AS rank
   FROM page_stats
 )
-SELECT 'top_pages_by_time' AS fact, date, count(*) AS records, CAST(sum(total_views) AS BIGINT) AS measure
-  FROM ranked WHERE rank <= 20 GROUP BY date
-UNION ALL SELECT 'bounce_rate_by_page_type', date, count(*), CAST(sum(bounces) AS BIGINT) FROM bounce GROUP BY date
-UNION ALL SELECT 'anomalies', date, count(*), count(DISTINCT session_id) FROM anomalies GROUP BY date
-UNION ALL SELECT 'page_metrics', date, count(*), CAST(sum(total_sessions) AS BIGINT) FROM page_metrics GROUP BY date
-UNION ALL SELECT 'session_summary', date, count(*), CAST(sum(total_pageviews) AS BIGINT) FROM session_summary GROUP BY date
+SELECT 'top_pages_by_time' AS fact, date, page_url AS name, page_type AS kind, round(avg_time_on_page_seconds, 4) AS value,
+       total_views AS n1, unique_sessions AS n2, NULL::BIGINT AS n3, NULL AS text FROM ranked WHERE rank <= 20
+UNION ALL SELECT 'bounce_rate_by_page_type', date, NULL, page_type, round(bounces / total, 4), total, bounces, NULL, NULL FROM bounce
+UNION ALL SELECT 'anomalies', date, session_id, anomaly_type, round(z_score, 6), NULL, NULL, NULL, user_id || ' ' || description FROM anomalies
+UNION ALL SELECT 'page_metrics', date, page_url, page_type, round(avg_time_on_page, 4), total_sessions, NULL, NULL, CAST(bounce_rate AS VARCHAR)
+  FROM page_metrics
+UNION ALL SELECT 'session_summary', date, country, device_type, round(avg_session_duration, 6), total_sessions, total_pageviews, unique_users, NULL
+  FROM session_summary
 """,
 )
 def _facts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole daily job: raw zone to stored fact tables, read back."""
+    """The whole daily job: raw zone to stored fact tables, all their rows read back."""
     stored = daily.run(spark, view_zone(spark, sf_dir), staging.fresh_path(spark, "facts"))
-    measures = {
-        "top_pages_by_time": F.sum("total_views"),
-        "bounce_rate_by_page_type": F.sum("bounces"),
-        "anomalies": F.countDistinct("session_id"),
-        "page_metrics": F.sum("total_sessions"),
-        "session_summary": F.sum("total_pageviews"),
-    }
-    return clean.union_events(
-        *[
-            stored[name].groupBy("date").agg(F.count("*").alias("records"), measure.alias("measure"))
-            .select(F.lit(name).alias("fact"), day(), "records", "measure")
-            for name, measure in measures.items()
-        ]
-    )
+    # Per table: name, kind, value and its digits, counts, text.
+    columns = {
+        "top_pages_by_time": ("page_url", "page_type", "avg_time_on_page_seconds", 4, ["total_views", "unique_sessions"], None),
+        "bounce_rate_by_page_type": (None, "page_type", "bounce_rate", 4, ["total", "bounces"], None),
+        "anomalies": ("session_id", "anomaly_type", "z_score", 6, [], F.concat("user_id", F.lit(" "), "description")),
+        "page_metrics": ("page_url", "page_type", "avg_time_on_page", 4, ["total_sessions"], F.col("bounce_rate").cast("string")),
+        "session_summary": (
+            "country", "device_type", "avg_session_duration", 6, ["total_sessions", "total_pageviews", "unique_users"], None,
+        ),
+    }
+    rows = []
+    for fact, (name, kind, value, digits, counts, text) in columns.items():
+        own = [F.col(name) if name else F.lit(None).cast("string"), F.col(kind), F.round(value, digits)]
+        own += [F.col(c) for c in counts] + [F.lit(None).cast("long")] * (3 - len(counts))
+        own.append(F.lit(None).cast("string") if text is None else text)
+        named = [c.alias(n) for c, n in zip(own, ("name", "kind", "value", "n1", "n2", "n3", "text"), strict=True)]
+        rows.append(stored[fact].select(F.lit(fact).alias("fact"), day(), *named))
+    return clean.union_events(*rows)
 
 
 @query(
@@ -369,7 +375,7 @@ def _file_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = line_zone(spark, sf_dir)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     lines = raw.with_positions(raw.decoded(_damaged(files)))
-    done = ingest.Ingest(staging.stage(quality.validate(lines), "isolation"), raw.parent(root), datetime(2024, 2, 1, tzinfo=UTC))
+    done = ingest.Ingest(quality.stage_validated(lines, "isolation"), raw.parent(root), datetime(2024, 2, 1, tzinfo=UTC))
     failed = done.failures.select(
         F.col("failure_key").alias("key"),
         F.when(F.col("reason").isNotNull(), "undecodable").otherwise("unprocessable").alias("outcome"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime settings that change results.
@@ -29,6 +32,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def expression_code(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside compile expression by expression, in small methods, instead of one method per stage.
+
+    For stages whose joint code is beyond what the JVM compiles: they would fail to compile first and run slower then.
+    """
+    name = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own session."""
     builder = (

@@ -37,7 +37,7 @@ def line_stream(spark: SparkSession, root: str, base: str, files_per_batch: int
 def _report(lines: DataFrame, batch_id: int, out: str, base: str, now: datetime | None, missing: DataFrame | None = None) -> None:
     """Validates the lines of a micro-batch and writes one folder per table, replaced as a whole by a replay."""
     target = f"{out}/checked/batch_id={batch_id}"
-    checked = staging.stage(quality.validate(raw.with_positions(lines)), "checked", target)
+    checked = quality.stage_validated(raw.with_positions(lines), "checked", target)
     done = Ingest(checked, base, now or datetime.now(UTC))
     failures = done.failures if missing is None else done.failures.unionByName(missing)
     metrics = quality.ingest_metrics(done.summary, failures, F.lit(done.now))

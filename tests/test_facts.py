@@ -53,8 +53,10 @@ def test_cleaning_is_idempotent(pv):
 
 def test_bounce(pv):
     want = {("home", 3, 2, 0.6667), ("cart", 1, 1, 1.0), (None, 1, 0, 0.0)}
-    for form in (pages.bounce_rate, pages.bounce_rate_join):
-        assert {(r.page_type, r.total, r.bounces, r.bounce_rate) for r in form(pv).collect()} == want
+    rates = pages.bounce_rate(pv)
+    assert {(r.page_type, r.total, r.bounces, r.bounce_rate) for r in rates.collect()} == want
+    groups = pv.select("date", F.explode(F.array("page_type", F.lit("none"))).alias("page_type")).distinct()
+    assert {(r.page_type, r.total, r.bounces, r.bounce_rate) for r in pages.complete(rates, groups).collect()} == want | {("none", 0, 0, 0.0)}
 
 
 def test_page_stats(pv):
