@@ -19,12 +19,13 @@ import base64
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickfacts.llm.common import appended, chunks
@@ -36,8 +37,8 @@ B, L, N, O, S, R, C1, C2 = range(8)
 #: end; an apostrophe that begins a contraction of one or two letters; the end of a text.
 LETTER, DIGIT, OTHER, LAST_SPACE, LAST_BLANK, BLANK, SHORT, LONG, END = range(9)
 _BLOCK = 256
-#: Merged slices a Python worker keeps; beyond them it starts anew.
-CACHE_SLICES = 400_000
+#: Merged slices and their tokens a Python worker keeps; beyond either it starts anew.
+CACHE_SLICES, CACHE_TOKENS = 400_000, 1 << 22
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +147,7 @@ class Slices:
         self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.fromiter(accumulate(len(t) + 1 for t in texts), np.int64, len(texts)) - 1
         starts = slice_starts(self.codes, ends)
+        self.ends = ends
         closing = np.searchsorted(starts, ends)
         self.per_text = np.diff(closing, prepend=-1) - 1
         lengths = np.diff(starts, append=len(self.codes))
@@ -153,6 +155,14 @@ class Slices:
         real[closing] = False
         self.starts, self.lengths = starts[real], lengths[real]
 
+    def byte_starts(self) -> np.ndarray:
+        """The byte of its text, in UTF-8, at which every slice begins."""
+        codes = self.codes
+        sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+        before = np.cumsum(sizes) - sizes
+        firsts = before[np.append(0, self.ends[:-1] + 1)] if len(self.ends) else self.ends
+        return before[self.starts] - np.repeat(firsts, self.per_text)
+
     def distinct(self) -> tuple[list[str], np.ndarray]:
         """The different slices, and for every slice which of them it is."""
         if not len(self.starts):
@@ -176,10 +186,15 @@ class Slices:
         return [self.joined[i:j] for i, j in zip(begins, stops, strict=True)], which
 
 
+def _stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of stretches that begin at ``starts``, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` that begin at ``starts``, one after the other."""
-    before = np.cumsum(lengths) - lengths
-    return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+    return flat[_stretches(starts, lengths)]
 
 
 def _totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -192,9 +207,9 @@ def _totals(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of a vocabulary file with base64 tokens, and the cache of merged slices."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+    def __init__(self, content: bytes):
+        lines = (line.split() for line in content.splitlines() if line.strip())
+        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.none = max(self.ranks.values()) + 1
         tokens = [b""] * self.none
         for token, rank in self.ranks.items():
@@ -207,7 +222,7 @@ class Vocabulary:
         self._forget()
 
     def _hash_pairs(self) -> None:
-        """Open-addressing table from a pair of tokens to the token it makes, for look-ups of whole arrays."""
+        """From a pair of tokens to the token it makes, for one pair; open-addressed for look-ups of whole arrays."""
         ranks = self.ranks
         pairs = {
             (ranks[token[:i]] << 32 | ranks[token[i:]]): rank
@@ -215,6 +230,7 @@ class Vocabulary:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         }
+        self._made_by = pairs
         self._bits = max(4, int(len(pairs) * 3).bit_length())
         self._keys = np.full(1 << self._bits, -1, np.int64)
         self._made = np.full(1 << self._bits, self.none, np.int32)
@@ -267,19 +283,36 @@ class Vocabulary:
         self._known.update(zip(pieces, range(first, first + n), strict=True))
 
     def merge(self, piece: bytes) -> list[int]:
-        """Tokens of one slice: the adjacent pair of lowest rank is joined, leftmost first, until none is known."""
-        ranks, none = self.ranks, self.none
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        scores = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while scores and (best := min(scores)) < none:
-            i = scores.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del scores[i]
-            if i < len(scores):
-                scores[i] = ranks.get(parts[i] + parts[i + 1], none)
-            if i:
-                scores[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-        return [ranks[p] for p in parts]
+        """Tokens of one slice: the adjacent pair of lowest rank is joined, leftmost first, until none is known.
+
+        Open pairs wait in a heap by rank and place and the parts are a linked list, so a run of n bytes without a
+        boundary takes n log n steps. Entries of pairs that have changed since are passed over."""
+        n, none, tokens = len(piece), self.none, self._single[np.frombuffer(piece, np.uint8)]
+        scores = np.append(self._joined(tokens[:-1], tokens[1:]), none).tolist()
+        heap = [score << 32 | i for i, score in enumerate(scores) if score < none]
+        heapify(heap)
+        ids, before, behind = tokens.tolist(), list(range(-1, n - 1)), list(range(1, n + 1))
+        made = self._made_by.get
+        while heap:
+            best = heappop(heap)
+            score, i = best >> 32, best & 0xFFFFFFFF
+            if scores[i] != score:
+                continue
+            gone = behind[i]
+            ids[i], ids[gone], scores[gone] = score, -1, none
+            right = behind[i] = behind[gone]
+            scores[i] = none
+            if right < n:
+                before[right] = i
+                if (joined := made(score << 32 | ids[right], none)) < none:
+                    scores[i] = joined
+                    heappush(heap, joined << 32 | i)
+            left = before[i]
+            if left >= 0:
+                scores[left] = joined = made(ids[left] << 32 | score, none)
+                if joined < none:
+                    heappush(heap, joined << 32 | left)
+        return [t for t in ids if t >= 0]
 
     def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """``merge`` of many slices of similar length at once: a row each, one pair joined per row and round.
@@ -321,7 +354,7 @@ class Vocabulary:
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
         """Numbers of different slices in the cache; those it lacks are merged first, those of like length together."""
-        if len(self._known) > CACHE_SLICES:
+        if len(self._known) > CACHE_SLICES or self._used > CACHE_TOKENS:
             self._forget()
         known = self._known
         numbers = list(map(known.get, pieces))
@@ -342,24 +375,74 @@ class Vocabulary:
             numbers[i] = known[pieces[i]]
         return np.array(numbers, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of all texts one after the other, and the number of each text."""
+    def _coded(self, texts: list[str]) -> tuple[Slices, np.ndarray, np.ndarray, np.ndarray]:
         slices = Slices(texts)
         pieces, which = slices.distinct()
         numbers = self._numbers(pieces)[which]
         counts = self._counts[numbers]
-        return _gather(self._flat, self._starts[numbers], counts), _totals(counts, slices.per_text)
+        return slices, _gather(self._flat, self._starts[numbers], counts), counts, _totals(counts, slices.per_text)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all texts one after the other, and the number of each text."""
+        _, ids, _, counts = self._coded(texts)
+        return ids, counts
+
+    def encode_at(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all texts, the byte of its text at which each begins, and the number of each text.
+
+        A token lies where its slice was cut from the text, plus the tokens before it in the slice."""
+        slices, ids, own, counts = self._coded(texts)
+        sizes = self.byte_counts[ids]
+        before = np.cumsum(sizes) - sizes
+        inside = before - np.repeat(before[np.cumsum(own) - own], own)
+        return ids, np.repeat(slices.byte_starts(), own) + inside, counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all texts one after the other, and the number of each text, from their tokens."""
         sizes = self.byte_counts[ids]
         return _gather(self.bytes, self.byte_starts[ids], sizes), _totals(sizes, counts)
 
+    def decode_at(self, ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``decode``, with the bytes of every token put at its own offset in the text.
+
+        A text ends where the last of its tokens does; offsets that leave a gap or lay tokens over each other are an
+        error."""
+        sizes = self.byte_counts[ids]
+        totals = _totals(sizes, counts)
+        first = np.repeat(np.cumsum(totals) - totals, counts)
+        places = _stretches(first + starts, sizes)
+        if len(places) and (int(places.min()) < 0 or int(places.max()) >= len(places)):
+            raise ValueError("a token lies outside its text")
+        out, filled = np.empty(len(places), np.uint8), np.zeros(len(places), bool)
+        out[places] = _gather(self.bytes, self.byte_starts[ids], sizes)
+        filled[places] = True
+        if not filled.all():
+            raise ValueError("token offsets leave a gap")
+        return out, totals
+
 
 @lru_cache(maxsize=2)
+def _read(content: bytes) -> Vocabulary:
+    return Vocabulary(content)
+
+
 def vocabulary(path: str) -> Vocabulary:
-    """One vocabulary per Python worker."""
-    return Vocabulary(path)
+    """The vocabulary of a file this machine holds."""
+    with open(path, "rb") as file:
+        return _read(file.read())
+
+
+class Ranks:
+    """A vocabulary file, read where the driver runs and broadcast (its size is that of the vocabulary, a few MB).
+
+    Executors need no copy of the file; ``get`` gives a task the vocabulary, built once per Python worker."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        with open(path, "rb") as file:
+            self._content = spark.sparkContext.broadcast(file.read())
+
+    def get(self) -> Vocabulary:
+        return _read(self._content.value)
 
 
 def _offsets(counts: np.ndarray) -> np.ndarray:
@@ -387,46 +470,56 @@ DECODED = T.StructField("decoded", T.BinaryType())
 
 def encode(df: DataFrame, path: str, text: str = "text", offsets: bool = False) -> DataFrame:
     """``df`` with ``token_ids``, and with ``offsets`` also ``token_starts``: the byte at which each token begins."""
+    ranks = Ranks(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
+        known = ranks.get()
         for part, texts in chunks(batches, text):
-            ids, counts = known.encode(texts)
-            new = {"token_ids": _lists(ids, counts)}
             if offsets:
-                sizes = known.byte_counts[ids]
-                before = np.cumsum(sizes) - sizes
-                first = np.append(before, 0)[np.cumsum(counts) - counts]
-                new["token_starts"] = _lists(before - np.repeat(first, counts), counts)
+                ids, starts, counts = known.encode_at(texts)
+                new = {"token_ids": _lists(ids, counts), "token_starts": _lists(starts, counts)}
+            else:
+                ids, counts = known.encode(texts)
+                new = {"token_ids": _lists(ids, counts)}
             yield appended(part, new)
 
     return df.mapInArrow(run, _schema(df, IDS, *([STARTS] if offsets else [])))
 
 
-def decode(df: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
-    """``df`` with ``decoded``: the bytes of the tokens. A null array decodes to empty bytes."""
+def decode(df: DataFrame, path: str, ids: str = "token_ids", starts: str | None = None) -> DataFrame:
+    """``df`` with ``decoded``: the bytes of the tokens, put at the offsets in ``starts`` where it is given.
+
+    A null array decodes to empty bytes."""
+    ranks = Ranks(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
+        known = ranks.get()
+        flat = lambda rows: rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows = part.column(part.schema.get_field_index(ids))
-                counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-                flat = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                yield appended(part, {"decoded": _binaries(*known.decode(flat, counts.astype(np.int64)))})
+                counts = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                if starts:
+                    places = flat(part.column(part.schema.get_field_index(starts)))
+                    yield appended(part, {"decoded": _binaries(*known.decode_at(flat(rows), places, counts))})
+                else:
+                    yield appended(part, {"decoded": _binaries(*known.decode(flat(rows), counts))})
 
     return df.mapInArrow(run, _schema(df, DECODED))
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``df`` without the text, with ``token_ids`` and what they decode to, in one pass of the Python workers."""
+    """``df`` without the text, with ``token_ids``, ``token_starts`` and what they decode to, in one pass of the Python
+    workers. A null text counts as empty. Existing columns of these names are replaced."""
+    ranks = Ranks(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
+        known = ranks.get()
         for part, texts in chunks(batches, text):
-            ids, counts = known.encode(texts)
-            new = {"token_ids": _lists(ids, counts), "decoded": _binaries(*known.decode(ids, counts))}
+            ids, starts, counts = known.encode_at(texts)
+            decoded = _binaries(*known.decode_at(ids, starts, counts))
+            new = {"token_ids": _lists(ids, counts), "token_starts": _lists(starts, counts), "decoded": decoded}
             yield appended(part.drop_columns([text]), new)
 
-    return df.mapInArrow(run, _schema(df.drop(text), IDS, DECODED))
+    return df.mapInArrow(run, _schema(df.drop(text), IDS, STARTS, DECODED))

@@ -3,11 +3,13 @@
 A value is read as a number below the size of its format (the product of the radices of its free places) and goes
 through a keyed Feistel network with cycle-walking, a permutation of exactly these numbers. So the pseudonym is valid
 where the value was (check digits, octets, calendar days), two different values never meet in one pseudonym, and equal
-values stay equal in all documents, whatever their separators.
+values stay equal in all documents, whatever their separators. A date keeps one pseudonym in all its written forms.
 
 Kinds, in order of precedence where spans touch: secrets (assignments of hexadecimal values to password, token, key or
-secret; access keys), e-mail addresses (local part), IBANs (mod 97), card numbers (Luhn), IPv4 addresses, telephone
-numbers, dates. A candidate that fails its validation may have taken in a token behind the value (a card's security
+secret; access keys), e-mail addresses (local part), IBANs (mod 97), dates with four digits of the year, card numbers
+(Luhn), social security numbers (no area, group or serial that is never given), IPv6 and IPv4 addresses, telephone
+numbers (with a country or trunk prefix, or grouped in threes and four). Left as they are, since nothing tells them from
+other numbers: digits in a row without a prefix or check digit, dates with two digits of the year. A candidate that fails its validation may have taken in a token behind the value (a card's security
 code, the currency behind an IBAN): it is tried again with each shorter end at a blank or another mark between its groups,
 longest first, and then as the other kinds. What is valid in no way stays as it is.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import calendar
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
@@ -30,9 +33,9 @@ from clickfacts.llm.common import appended, chunks
 ROUNDS = 8
 _DIGITS, _HEX, _ALNUM = "0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
-#: Dates are permuted among the days of these years.
+#: Dates are permuted among the days of these years, each among those of its kind.
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
-KINDS = ("secret", "email", "iban", "card", "ip", "phone", "date")
+KINDS = ("secret", "email", "iban", "card", "ip", "phone", "date", "ssn", "ipv6")
 
 
 def permute(value: int, size: int, key: bytes) -> int:
@@ -108,9 +111,9 @@ def _phone(found: str, key: bytes) -> str | None:
     body = digits[keep:]
     if not 7 <= len(body) <= 14 or len(digits) > 15:
         return None
-    # A leading zero marks a trunk prefix; other numbers do not begin with one.
-    first = "0" if body[0] == "0" else "123456789"
-    return _like(found, digits[:keep] + _in_alphabets(body, [first] + [_DIGITS] * (len(body) - 1), key))
+    # A leading zero marks a trunk prefix, with a second one an exit code; other numbers do not begin with one.
+    heads = ["0" if c == "0" else "123456789" for c in body[: 2 if body[0] == "0" else 1]]
+    return _like(found, digits[:keep] + _in_alphabets(body, heads + [_DIGITS] * (len(body) - len(heads)), key))
 
 
 def _email(found: str, key: bytes) -> str | None:
@@ -153,30 +156,71 @@ def _secret(found: str, key: bytes) -> str | None:
     return found[:start] + _in_alphabets(body, alphabets, key) + tail
 
 
+def _kind_of_day(month: int, day: int) -> tuple[bool, int]:
+    """What a pseudonym has in common with its date: a month of one digit or not; a day of one digit, to 12 or above.
+
+    So every written form stays readable as what it was: places of one digit stay such places, and a day above 12, which
+    tells day and month apart, stays above 12.
+    """
+    return month > 9, (day > 9) + (day > 12)
+
+
+@lru_cache(maxsize=1)
+def _days() -> tuple[dict[tuple[bool, int], list[date]], dict[date, int]]:
+    """The days of each kind in order, and the place of every day among those of its kind."""
+    kinds: dict[tuple[bool, int], list[date]] = {}
+    places = {}
+    for i in range((LAST_DAY - FIRST_DAY).days + 1):
+        day = FIRST_DAY + timedelta(i)
+        own = kinds.setdefault(_kind_of_day(day.month, day.day), [])
+        places[day] = len(own)
+        own.append(day)
+    return kinds, places
+
+
 def _date(found: str, key: bytes) -> str | None:
-    iso = re.fullmatch(r"(\d{4})([-/.])(\d{2})\2(\d{2})", found)
-    other = iso or re.fullmatch(r"(\d{1,2})([-/.])(\d{1,2})\2(\d{4})", found)
-    a, mark, b, c = other.groups()
-    if iso:
-        order = (int(a), int(b), int(c))
+    places = re.split(r"[-/.]", found)
+    mark = found[len(places[0])]
+    if len(places[0]) == 4:
+        order = "ymd"
     else:
-        # Slashes put the month first where that is a date, dots and dashes the day.
-        day, month = (int(b), int(a)) if mark == "/" and int(a) <= 12 else (int(a), int(b))
-        order = (int(c), month, day)
-    year, month, day = order
+        # Slashes put the month first and other marks the day, unless the number there can only be the other one.
+        swapped = int(places[0]) > 12 if mark == "/" else int(places[1]) > 12
+        order = "mdy" if (mark == "/") != swapped else "dmy"
+    year, month, day = (int(places[order.index(c)]) for c in "ymd")
     if not (FIRST_DAY.year <= year <= LAST_DAY.year and 1 <= month <= 12 and 1 <= day <= calendar.monthrange(year, month)[1]):
         return None
-    span = (LAST_DAY - FIRST_DAY).days + 1
-    new = FIRST_DAY + timedelta(permute((date(*order) - FIRST_DAY).days, span, key))
-    if iso:
-        return f"{new.year:04d}{mark}{new.month:02d}{mark}{new.day:02d}"
-    month_first = mark == "/" and int(a) <= 12
-    parts = (new.month, new.day) if month_first else (new.day, new.month)
-    return f"{parts[0]:02d}{mark}{parts[1]:02d}{mark}{new.year:04d}"
+    kinds, numbers = _days()
+    kind = _kind_of_day(month, day)
+    own = kinds[kind]
+    # One permutation for all written forms: a date keeps its pseudonym in each.
+    new = own[permute(numbers[date(year, month, day)], len(own), key + bytes([kind[0], kind[1]]))]
+    fresh = {"y": new.year, "m": new.month, "d": new.day}
+    return mark.join(f"{fresh[c]:0{len(place)}d}" for c, place in zip(order, places, strict=True))
+
+
+def _ssn(found: str, key: bytes) -> str | None:
+    area, group, serial = (int(x) for x in found.split("-"))
+    if area in (0, 666) or area > 899 or group == 0 or serial == 0:
+        return None
+    number = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
+    rest, serial = divmod(permute(number, 898 * 99 * 9999, key), 9999)
+    area, group = divmod(rest, 99)
+    return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
+
+
+def _ipv6(found: str, key: bytes) -> str | None:
+    try:
+        address = ipaddress.IPv6Address(found)
+    except ValueError:
+        return None
+    # All written forms of an address get one pseudonym, in the shortest form. The first group tells the scope and stays.
+    scope, rest = divmod(int(address), 1 << 112)
+    return str(ipaddress.IPv6Address(scope << 112 | permute(rest, 1 << 112, key + scope.to_bytes(2, "big"))))
 
 
 _MAKERS: dict[str, Callable[[str, bytes], str | None]] = dict(
-    zip(KINDS, (_secret, _email, _iban, _card, _ip, _phone, _date), strict=True)
+    zip(KINDS, (_secret, _email, _iban, _card, _ip, _phone, _date, _ssn, _ipv6), strict=True)
 )
 _FORMS = {
     "secret": r"""(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])
@@ -186,10 +230,13 @@ _FORMS = {
     "date": r"""(?<![\d.,/-])(?:\d{4}(?P<iso>[-/.])\d{2}(?P=iso)\d{2}
         |\d{1,2}(?P<mark>[-/.])\d{1,2}(?P=mark)\d{4})(?![\d/-]|[.]\d)""",
     "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "ssn": r"(?<![\w.+-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f]{0,3}\d)[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "phone": r"""(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])
         |(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?![\w-])
-        |(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-])""",
+        |(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-])
+        |(?<![\w.,+/-])0[1-9]\d{1,3}[ /-]\d{5,8}(?![\w-]|[.,]\d)""",
 }
 _PATTERN = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in _FORMS.items()), re.VERBOSE)
 _PATTERNS = {kind: re.compile(form, re.VERBOSE) for kind, form in _FORMS.items()}

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickfacts.llm.bpe import vocabulary
+from clickfacts.llm.bpe import Ranks
 from clickfacts.llm.common import chunks, cut, shared_dir
 
 LENGTH, PER_SHARD, ROUNDS = 256, 1 << 15, 6
@@ -71,8 +71,10 @@ def permuted(numbers: np.ndarray, size: int, key: str, inverse: bool = False) ->
 def _encoded(documents: DataFrame, path: str, end: int, length: int) -> DataFrame:
     """``id, task, before, sequences, ids``: token ids as bytes, and the sequences of the task's rows before."""
 
+    ranks = Ranks(documents.sparkSession, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, task, before = vocabulary(path), TaskContext.get().partitionId(), 0
+        known, task, before = ranks.get(), TaskContext.get().partitionId(), 0
         for part, texts in chunks(batches, "text"):
             ids, counts = known.encode(texts)
             ids = ids.astype("<u2")

@@ -1,8 +1,11 @@
 """Operators on single texts: BPE, pseudonyms, language, quality."""
 
 import base64
+import datetime
+import functools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -76,6 +79,47 @@ def test_bpe_frames(spark, reference):
         starts = np.cumsum([0, *(len(reference.decode_single_token_bytes(i)) for i in r.token_ids)])[:-1].tolist()
         assert r.token_starts == starts
     assert bpe.round_trip(df.limit(0), PATH).count() == 0
+    placed = bpe.decode(coded, PATH, starts="token_starts").collect()
+    assert sorted(bytes(r.decoded) for r in placed) == sorted(bytes(r.decoded) for r in got)
+    both = bpe.round_trip(df.withColumn("token_starts", F.lit("clash")), PATH).collect()
+    assert sorted((r.token_starts, bytes(r.decoded)) for r in both) == sorted((r.token_starts, bytes(r.decoded)) for r in got)
+
+
+def test_bpe_offsets_place_tokens():
+    """Decoding goes by the offsets: tokens in any order give the text, and offsets that do not fit are an error."""
+    known = bpe.vocabulary(PATH)
+    texts = ["It's é漢😀 time", "", "  two\n words", "x"]
+    ids, starts, counts = known.encode_at(texts)
+    begins = np.cumsum(counts) - counts
+    order = np.concatenate([np.arange(b, b + c)[::-1] for b, c in zip(begins, counts, strict=True)])
+    data, sizes = known.decode_at(ids[order], starts[order], counts)
+    assert data.tobytes() == "".join(texts).encode() and sizes.tolist() == [len(t.encode()) for t in texts]
+    for wrong in (starts + 1, starts * 0, starts - 1):
+        with pytest.raises(ValueError):
+            known.decode_at(ids, wrong, counts)
+
+
+def test_bpe_long_runs(reference):
+    """A run of a million letters takes seconds and equals the library; shorter ones equal a search for the lowest pair."""
+    known, draw = bpe.vocabulary(PATH), random.Random(4)
+
+    def plain(piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while len(parts) > 1:
+            score, i = min((known.ranks.get(a + b, known.none), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if score == known.none:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [known.ranks[p] for p in parts]
+
+    for letters, size in (("a", 301), ("ab", 200), ("etaoin", 400), ("漢字é", 100), ("0", 150)):
+        piece = "".join(draw.choices(letters, k=size)).encode()
+        assert known.merge(piece) == plain(piece)
+    run = "".join(draw.choices("etaoinshrdlucmfw", k=1_000_000))
+    begin = time.perf_counter()
+    got = _encode(run)
+    assert time.perf_counter() - begin < 60
+    assert got == reference.encode_ordinary(run)
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 100, 1000])
@@ -96,6 +140,11 @@ def test_permutation(size):
         ("call +1 (555) 123-4567 now", "phone"),
         ("on 2024-02-29, so", "date"),
         ("on 31.12.1999.", "date"),
+        ("on 5/7/2024.", "date"),
+        ("on 12-31-2024", "date"),
+        ("from 123-45-6789", "ssn"),
+        ("at 2001:db8::1, x", "ipv6"),
+        ("call 0171 1234567 now", "phone"),
         ("to DE89 3704 0044 0532 0130 00", "iban"),
     ],
 )
@@ -143,6 +192,45 @@ def test_pseudonym_with_a_token_behind(value, kind, tail):
             assert fresh[begin : spans[0][2]] == names.replace(value)[0]
 
 
+def test_no_two_dates_meet(monkeypatch):
+    """All days of two centuries in every written form: different texts stay different, one date one pseudonym."""
+    make = pii.Pseudonyms("key")._keys["date"]
+    # All forms of a date ask for the same image.
+    monkeypatch.setattr(pii, "permute", functools.lru_cache(maxsize=None)(pii.permute))
+    forms = ["{y}-{m:02d}-{d:02d}", "{y}/{m:02d}/{d:02d}", "{m:02d}/{d:02d}/{y}", "{m}/{d}/{y}", "{m:02d}/{d}/{y}"]
+    forms += ["{d:02d}.{m:02d}.{y}", "{d}.{m}.{y}", "{d:02d}-{m:02d}-{y}"]
+    swapped = ["{d:02d}/{m:02d}/{y}", "{d}/{m}/{y}", "{m:02d}-{d:02d}-{y}", "{m}.{d}.{y}"]
+    day, images = pii.FIRST_DAY, {}
+    moved = set()
+    while day <= pii.LAST_DAY:
+        fresh = None
+        for form in forms + swapped * (day.day > 12):
+            text = form.format(y=day.year, m=day.month, d=day.day)
+            image = images.setdefault(text, pii._date(text, make))
+            assert [len(x) for x in re.split("[-/.]", image)] == [len(x) for x in re.split("[-/.]", text)]
+            if form.startswith("{y}"):
+                fresh = fresh or re.sub(r"\D", "-", image)
+                assert re.sub(r"\D", "-", image) == fresh
+                new = datetime.date.fromisoformat(fresh)
+            else:
+                assert image == form.format(y=new.year, m=new.month, d=new.day)
+        moved.add(fresh)
+        day += datetime.timedelta(1)
+    assert len(moved) == (pii.LAST_DAY - pii.FIRST_DAY).days + 1
+    assert len(set(images.values())) == len(images)
+
+
+def test_social_security_and_address_forms():
+    key = b"k"
+    fresh = {pii._ssn(f"{area:03d}-{group:02d}-0001", key) for area in (1, 665, 667, 899) for group in range(1, 100)}
+    assert len(fresh) == 396 and all(pii._ssn(f, key) for f in fresh)
+    names = pii.Pseudonyms("key")
+    for text in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000", "std::vector 12:30:45 face::off", "::1"):
+        assert names.replace(text) == (text, [])
+    forms = ("2001:db8::1", "2001:0db8:0:0::1", "2001:DB8:0:0:0:0:0:1")
+    assert len({names.replace(f)[0] for f in forms}) == 1 and names.replace("2001:db8::2")[0] != names.replace(forms[0])[0]
+
+
 def test_pseudonym_exact_ends():
     names = pii.Pseudonyms("key")
     for value, tail in (
