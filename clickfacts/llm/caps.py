@@ -13,10 +13,15 @@ the threshold share a direction of one code less often the more directions it ha
 follows from that share, measured on random pairs: of pairs at the threshold no more than ``MISSED`` are expected to
 be missed, at every input size, length of vectors and threshold.
 
-Equal vectors of a label are one representative with a weight; they are never paired with each other. Each pair of
-representatives is kept at the first direction both are listed at, so it is verified once. Vectors that are null, zero
-or empty, hold null or non-finite components, or have no label link with nothing; vectors of different lengths do not
-link.
+Equal vectors of a label are one representative with a weight. Representatives whose nearest direction is the same are
+a tile (several, where they exceed ``TILE_BYTES``), so a group of near copies is a few tiles. Tiles whose members share a
+direction are compared once, as a product of two matrices. What leaves a comparison is one row per member that has a
+link, with the weight of what it links with and the smallest member it is connected to: link counts are sums of these
+rows and components follow from them, so pairs of vectors are never rows. The cosines within a group of near copies still
+are as many as its links.
+
+Vectors that are null, zero or empty, hold null or non-finite components, or have no label link with nothing; vectors of
+different lengths do not link. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,10 +31,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickfacts.llm.common import cut
+from clickfacts.llm.common import appended, cut
 from clickfacts.llm.components import components
 
 THRESHOLD = 0.93
@@ -39,6 +46,8 @@ TABLES, TABLES_MOST, LISTED = 5, 16, 16
 MISSED, PROBES, STRIDE = 0.001, 1000, 1 << 12
 #: Below this length a half has one component and all its codewords are two; a grid takes the place of the codes.
 SHORT = 4
+#: Bytes of the vectors of a tile.
+TILE_BYTES = 1 << 20
 #: Directions per vector of the input, and the codewords of a half at most (the code is then searched in full).
 DIRECTIONS_PER_ROW, CODEWORDS_LEAST, CODEWORDS_MOST = 8, 64, 1 << 15
 
@@ -88,13 +97,21 @@ class Filters:
         for begin in range(0, len(units), step):
             for a, b in zip(*self._halves(units[begin : begin + step]), strict=True):
                 firsts = np.flatnonzero(a >= self.bound - b.max())
-                order = np.argsort(-b)[: int((b >= self.bound - a.max()).sum())]
+                order = np.flatnonzero(b >= self.bound - a.max())
+                order = order[np.argsort(-b[order], kind="stable")]
                 many = np.searchsorted(-b[order], a[firsts] - self.bound, side="right")
                 own = np.repeat(firsts, many) * size
                 own += order[np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
                 out.append(own)
         return out
 
+    def nearest(self, units: np.ndarray) -> np.ndarray:
+        """The number of the direction nearest to each unit vector."""
+        size = len(self.codes[1])
+        step = max(1, (1 << 22) // size)
+        parts = [self._halves(units[begin : begin + step]) for begin in range(0, len(units), step)]
+        return np.concatenate([a.argmax(1) * size + b.argmax(1) for a, b in parts])
+
 
 @lru_cache(maxsize=TABLES_MOST)
 def filters(length: int, codewords: int, table: int) -> Filters:
@@ -137,58 +154,143 @@ def cells(units: np.ndarray, threshold: float) -> list[np.ndarray]:
     return [np.unique(x) for x in numbers]
 
 
+def _units(rows: np.ndarray) -> np.ndarray:
+    """The rows at length one; scaled by their largest components first, so squares neither overflow nor vanish."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def _listed(vectors: DataFrame, codewords: int, threshold: float) -> DataFrame:
-    """``rep, label, listed``: the direction numbers of every vector, those of each table apart from the others'."""
+    """``vectors`` with the directions of every vector, those of each table apart from the others', and the nearest."""
+    at = vectors.columns.index("vector")
+    fields = [T.StructField("home", T.LongType()), T.StructField("listed", T.ArrayType(T.LongType()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                rows = part.column(2).to_pylist()
+                rows = part.column(at).to_pylist()
                 found: list[list[np.ndarray]] = [[] for _ in rows]
+                homes = np.zeros(len(rows), np.int64)
                 by_length: dict[int, list[int]] = {}
                 for i, row in enumerate(rows):
                     by_length.setdefault(len(row), []).append(i)
                 for length, own in by_length.items():
-                    units = np.array([rows[i] for i in own], np.float64)
-                    units /= np.abs(units).max(axis=1, keepdims=True)
-                    units /= np.linalg.norm(units, axis=1, keepdims=True)
+                    units = _units(np.array([rows[i] for i in own], np.float64))
                     if length < SHORT:
                         for i, numbers in zip(own, cells(units, threshold), strict=True):
                             found[i].append(numbers)
+                            homes[i] = numbers[0]
                         continue
                     own_codewords, tables = plan(length, codewords, threshold)
+                    homes[own] = filters(length, own_codewords, 0).nearest(units) * STRIDE
                     for table in range(tables):
                         known = filters(length, own_codewords, table)
                         for i, numbers in zip(own, known.listed(units), strict=True):
                             found[i].append(numbers * STRIDE + table)
-                lists = pa.array([np.sort(np.concatenate(x)) for x in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["rep", "label", "listed"])
+                lists = pa.array([np.concatenate(x) for x in found], pa.list_(pa.int64()))
+                yield appended(part, {"home": pa.array(homes), "listed": lists})
+
+    return vectors.mapInArrow(run, T.StructType([*vectors.schema.fields, *fields]))
+
+
+class _Side:
+    """The members of the tiles in one column: where each tile begins, and keys, weights and components of members."""
+
+    def __init__(self, column: pa.Array):
+        self.counts = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+        members = column.flatten()
+        self.reps = members.field("rep").to_numpy(zero_copy_only=False)
+        self.weights = members.field("weight").to_numpy(zero_copy_only=False)
+        vectors = members.field("vector")
+        self.lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.at = np.cumsum(self.lengths) - self.lengths
+        self.values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+
+    def rows(self, members: np.ndarray) -> np.ndarray:
+        """The vectors of members of one length."""
+        return self.values[self.at[members][:, None] + np.arange(self.lengths[members[0]])]
+
+    def tile(self, row: int) -> np.ndarray:
+        return self.starts[row] + np.arange(self.counts[row])
+
+
+def _paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of two tables, one by one, in double precision."""
+    x, y = (side / np.abs(side).max(axis=1, keepdims=True) for side in (x, y))
+    return (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
+
+
+def _linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of ``x`` reach the threshold with which of ``y``."""
+    cosines = _units(x) @ _units(y).T
+    links = cosines >= threshold
+    # Where the order of summation could decide, it is that of a single pair.
+    for i, j in np.argwhere(np.abs(cosines - threshold) < 1e-9):
+        links[i, j] = _paired(x[i : i + 1], y[j : j + 1])[0] >= threshold
+    return links
+
+
+def connected(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Components of the graph between rows and columns: a number for each row and column, -1 without a link."""
+    left, right = np.full(links.shape[0], -1), np.full(links.shape[1], -1)
+    number = 0
+    for i in np.flatnonzero(links.any(1)):
+        if left[i] >= 0:
+            continue
+        rows = np.array([i])
+        left[i] = number
+        while len(rows):
+            columns = np.flatnonzero(links[rows].any(0) & (right < 0))
+            right[columns] = number
+            rows = np.flatnonzero(links[:, columns].any(1) & (left < 0))
+            left[rows] = number
+        number += 1
+    return left, right
 
-    return vectors.mapInArrow(run, "rep long, label string, listed array<long>")
 
+def _compared(tiles: DataFrame, threshold: float) -> DataFrame:
+    """``rep, root, others`` of ``same, left, right``: tiles compared with each other, or with themselves if ``same``.
 
-def _cosines(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` of ``a, b, left, right`` whose cosine reaches the threshold."""
+    One row for each member with a link: the smallest member it is connected to there, and the weight it links with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i).to_pylist() for i in (2, 3))
-            cosine = np.full(batch.num_rows, -2.0)
-            by_length: dict[int, list[int]] = {}
-            for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                if len(x) == len(y):
-                    by_length.setdefault(len(x), []).append(i)
-            for own in by_length.values():
-                x, y = (np.array([side[i] for i in own], np.float64) for side in (left, right))
-                # Scaled by their largest components, squares neither overflow nor vanish.
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                y /= np.abs(y).max(axis=1, keepdims=True)
-                cosine[own] = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
-            keep = pa.array(cosine >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
-
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+            same = batch.column(0).to_numpy(zero_copy_only=False)
+            a, b = _Side(batch.column(1)), _Side(batch.column(2))
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            single = ~same & (a.counts == 1) & (b.counts == 1)
+            lengths = a.lengths[a.starts]
+            for length in np.unique(lengths[single]):
+                own = np.flatnonzero(single & (lengths == length))
+                x, y = a.starts[own], b.starts[own]
+                hit = _paired(a.rows(x), b.rows(y)) >= threshold
+                x, y = x[hit], y[hit]
+                root = np.minimum(a.reps[x], b.reps[y])
+                out += [(a.reps[x], root, b.weights[y]), (b.reps[y], root, a.weights[x])]
+            for row in np.flatnonzero(~single):
+                x, y = a.tile(row), b.tile(row)
+                links = _linked(a.rows(x), b.rows(y), threshold)
+                if same[row]:
+                    np.fill_diagonal(links, False)
+                others = links @ b.weights[y], links.T @ a.weights[x]
+                if same[row]:
+                    # A member is itself on both sides.
+                    np.fill_diagonal(links, links.any(1))
+                numbers = connected(links)
+                roots = np.full(max(1, len(x) + len(y)), np.iinfo(np.int64).max)
+                for side, members, number in ((a, x, numbers[0]), (b, y, numbers[1])):
+                    np.minimum.at(roots, number[number >= 0], side.reps[members[number >= 0]])
+                sides = ((a, x, numbers[0], others[0]), (b, y, numbers[1], others[1]))
+                for side, members, number, weight in sides[: 1 if same[row] else 2]:
+                    has = number >= 0
+                    out.append((side.reps[members[has]], roots[number[has]], weight[has]))
+            if out:
+                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["rep", "root", "others"])
+
+    return tiles.select("same", "left", "right").mapInArrow(run, "rep long, root long, others long")
 
 
 def codewords_for(rows: int) -> int:
@@ -214,21 +316,32 @@ def duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", la
     # A key of its own, since a repeated row key may be the smallest of several classes.
     classes = cut(classes.withColumn("rep", F.xxhash64("label", "vector")))
     codewords = codewords_for(classes.count())
-    listed = cut(_listed(classes.select("rep", "label", "vector"), codewords, threshold))
-    entries = listed.select("rep", "label", "listed", F.explode("listed").alias("direction"))
-    left = entries.select("label", "direction", F.col("rep").alias("a"), F.col("listed").alias("listed_a"))
-    right = entries.select("label", "direction", F.col("rep").alias("b"), F.col("listed").alias("listed_b"))
-    # Both lists are in order, so the first element of the intersection is the first direction in common.
-    first = F.element_at(F.array_intersect("listed_a", "listed_b"), 1) == F.col("direction")
-    pairs = left.join(right, ["label", "direction"]).where((F.col("a") < F.col("b")) & first).select("a", "b")
-    vectors = classes.select("rep", "vector")
-    both = pairs.join(vectors.select(F.col("rep").alias("a"), F.col("vector").alias("left")), "a").join(
-        vectors.select(F.col("rep").alias("b"), F.col("vector").alias("right")), "b"
+    listed = cut(_listed(classes.select("rep", "label", "vector", "weight"), codewords, threshold))
+    kind = [F.col("label"), F.size("vector").alias("length")]
+    # Only homes with more vectors than a tile holds are split, and only they are looked up.
+    parts = F.ceil(F.sum(F.size("vector")) * 8 / TILE_BYTES).alias("parts")
+    large = listed.groupBy(*kind, "home").agg(parts).where("parts > 1")
+    placed = listed.select("rep", "weight", "vector", *kind, "home", "listed").join(large, ["label", "length", "home"], "left")
+    part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
+    placed = cut(placed.withColumn("tile", F.xxhash64("label", "length", "home", part)))
+    member = F.struct("rep", "weight", "vector")
+    tiles = cut(placed.groupBy("label", "length", "tile").agg(F.collect_list(member).alias("members")))
+    # Keys are hashes: one that two kinds share makes a candidate too many, which the kinds below decide.
+    directions = F.explode(F.array_union("listed", F.array("home"))).alias("direction")
+    entries = placed.select("label", "length", "tile", directions)
+    entries = entries.select(F.xxhash64("label", "length", "direction").alias("key"), "tile").distinct()
+    others = entries.withColumnRenamed("tile", "other")
+    met = entries.join(others, "key").where("tile < other").select("tile", "other").distinct()
+    left = tiles.select("label", "length", "tile", F.col("members").alias("left"))
+    right = tiles.select(
+        F.col("label").alias("label_b"), F.col("length").alias("length_b"), F.col("tile").alias("other"), F.col("members").alias("right")
     )
-    links = cut(_cosines(both, threshold))
-    weights = classes.select("rep", "weight")
-    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = ends.join(weights.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("weight").alias("others"))
+    alike = (F.col("label") == F.col("label_b")) & (F.col("length") == F.col("length_b"))
+    across = met.join(left, "tile").join(right, "other").where(alike).select(F.lit(False).alias("same"), "left", "right")
+    within = left.where(F.size("left") > 1).select(F.lit(True).alias("same"), "left", F.col("left").alias("right"))
+    compared = cut(_compared(across.union(within), threshold))
+    links = compared.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    linked = compared.groupBy("rep").agg(F.sum("others").alias("others"))
     joined = components(links).withColumnRenamed("id", "rep").join(classes.select("rep", "least"), "rep")
     lowest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     found = joined.join(lowest, "component").select("rep", "component_id")

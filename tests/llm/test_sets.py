@@ -173,6 +173,32 @@ def test_caps_equal_brute_force(spark):
     assert caps.duplicates(df.limit(0)).count() == 0
 
 
+def test_caps_split_a_large_home(spark, monkeypatch):
+    """A group of near copies that fills many tiles: every link counts once, within tiles and across them."""
+    ship(spark)
+    monkeypatch.setattr(caps, "TILE_BYTES", 8 * 16 * 6)
+    draw = np.random.default_rng(8)
+    base = draw.normal(size=16)
+    rows = [(i, [float(v) for v in base + draw.normal(size=16) * (0.02 if i % 3 else 0.35)], i % 2) for i in range(240)]
+    rows += [(900 + i, rows[0][1], rows[0][2]) for i in range(5)]
+    got = {r.vec_id: r for r in caps.duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    links = (x @ x.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(links, False)
+    groups = _classes([r[0] for r in rows], [(rows[i][0], rows[j][0]) for i, j in np.argwhere(links)])
+    assert links.sum() > 10_000
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {r[0]: (int(links[n].sum()), groups[r[0]]) for n, r in enumerate(rows)}
+
+
+def test_connected():
+    links = np.zeros((5, 6), bool)
+    links[[0, 1, 1, 3], [2, 2, 4, 0]] = True
+    left, right = caps.connected(links)
+    assert left.tolist() == [0, 0, -1, 1, -1] and right.tolist() == [1, -1, 0, -1, 0, -1]
+
+
 def test_cap_lists_are_complete():
     """List decoding finds exactly the directions above the bound, and near vectors share one."""
     draw = np.random.default_rng(0)
