@@ -161,17 +161,22 @@ def materialise(documents: DataFrame, path: str, vocabulary_path: str, end: int,
 
 
 def read(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int = PER_SHARD, from_slot: int = 0) -> DataFrame:
-    """``slot, shard, begin, id, number, n_tokens, record`` of the records from ``from_slot`` on, by their places."""
+    """``slot, shard, begin, id, number, n_tokens, record`` of the records from ``from_slot`` on, by their places.
+
+    Shards before that of ``from_slot`` are not opened, and in its shard reading begins at the record of ``from_slot``.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long")
-    files = files.select(shard.alias("shard"), "content").where(F.col("shard") >= from_slot // per_shard)
+    if "shard" not in files.columns:
+        # No document, no shard folder to discover the column from.
+        files = files.withColumn("shard", F.lit(None).cast("long"))
+    files = files.where(F.col("shard") >= from_slot // per_shard).select(F.col("shard").cast("long"), "content")
     size = stride(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 table = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, size)
-                for at in range(0, len(table), 4096):
+                for at in range(max(0, from_slot - number * per_shard), len(table), 4096):
                     part = np.ascontiguousarray(table[at : at + 4096])
                     n = len(part)
                     header = part[:, :_HEADER].copy().view([("id", "<i8"), ("number", "<i4"), ("none", "<u2"), ("tokens", "<u2")]).ravel()
@@ -188,8 +193,7 @@ def read(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int =
                         }
                     )
 
-    rows = files.mapInArrow(run, "slot long, shard long, begin long, id long, number int, n_tokens int, record binary")
-    return rows.where(F.col("slot") >= from_slot)
+    return files.mapInArrow(run, "slot long, shard long, begin long, id long, number int, n_tokens int, record binary")
 
 
 def fresh_path(spark: SparkSession) -> str:

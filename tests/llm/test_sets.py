@@ -378,8 +378,15 @@ def test_shards_round_trip(spark, tmp_path):
     assert len(found[0]) == 2
     later = shards.read(spark, path, 8, 16, from_slot=20).collect()
     assert {r.slot: r.record for r in later} == {r.slot: r.record for r in back if r.slot >= 20}
+    assert {(r.shard, r.begin) for r in later} == {(r.shard, r.begin) for r in back if r.slot >= 20}
+    # Shards before the wanted one are pruned by their folder.
+    files = shards.read(spark, path, 8, 16, from_slot=total - 1).select("slot")
+    assert files.collect()[0].slot == total - 1 and files.count() == 1
+    plan = shards.read(spark, path, 8, 16, from_slot=20)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*shard#\d+[^\]]* >= 1", plan)
     empty = str(tmp_path / "none")
     assert shards.materialise(spark.createDataFrame([], DOCS), empty, queries.BYTE_BPE, 50256, "k") == 0
+    assert shards.read(spark, empty).count() == 0
 
 
 def _sharded(rows):
