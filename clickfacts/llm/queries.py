@@ -141,7 +141,31 @@ def simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents, table(spark, sf_dir, "benchmark"))
 
 
-@query("op6_cap_filters")
+@query(
+    "op6_cap_filters",
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.93 ELSE false END
+    ),
+    reached AS (
+      SELECT a AS vec_id, b AS other FROM links
+      UNION
+      SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+    ),
+    counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+    lowest AS (SELECT vec_id, min(other) AS low FROM reached GROUP BY vec_id)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+           low IS NULL OR low >= vec_id AS kept
+    FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN lowest USING (vec_id)
+    """,
+)
 def cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of near-equal vectors of a label."""
     return caps.duplicates(table(spark, sf_dir, "embeddings"))

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,18 @@ def test_caps_equal_brute_force(spark):
     assert caps.duplicates(df.limit(0)).count() == 0
 
 
+def test_caps_equal_sql_where_there_are_links(spark, tmp_path):
+    rows = _vectors() + [(7000, None, 1), (7001, [0.0] * 16, 1), (7002, [math.nan] * 16, 1), (7004, _vectors()[0][1], None)]
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(path)
+    got = queries.QUERIES["op6_cap_filters"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = con.execute(queries.ORACLES["op6_cap_filters"]).fetchall()
+    assert sum(n for _, n, _, _ in want) > 300
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted(want)
+
+
 def test_caps_split_a_large_home(spark, monkeypatch):
     """A group of near copies that fills many tiles: every link counts once, within tiles and across them."""
     ship(spark)
