@@ -12,7 +12,8 @@ dynamic program within the band that a similarity of 0.8 allows, for many pairs
 
 No group is expanded into all its pairs. Equal texts (after lower-casing and dropping punctuation) are one
 representative. In each bucket every text is compared with one hub, the text whose buckets are largest; components of
-these links are found, and only texts of a bucket that are still in different components are compared further.
+these links are found, and only texts of a bucket that are still in different components are compared further: those
+pairs whose shingles that occur in several of the components would suffice for the similarity.
 
 Null texts and texts without words belong to no group. Texts with fewer than five words are one shingle, so they are
 duplicates only of equal ones. Very long texts are processed whole.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,27 +42,12 @@ SKETCHES, ORDER = 32, 5
 #: Texts of up to SHORT_MOST shingles also have these (0.8 ** 2 each); those of up to SHORT_ONLY have nothing else.
 SHORT_SKETCHES, SHORT_ORDER, SHORT_ONLY, SHORT_MOST = 16, 2, 24, 32
 AGREE = 2
-CACHE_WORDS = 400_000
+#: Characters of a text whose words are coded at a time.
+BLOCK_CHARS = 1 << 19
 _WORD = re.compile(r"[^\W_]+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordCodes:
-    """64-bit codes of words, the same in every process; those met so far are kept."""
-
-    def __init__(self) -> None:
-        self._known: dict[str, int] = {}
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        if len(self._known) > CACHE_WORDS:
-            self._known.clear()
-        known = self._known
-        for w in set(words):
-            if w not in known:
-                known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -70,6 +57,44 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+@cache
+def _in_words() -> np.ndarray:
+    """Which codepoints words consist of."""
+    return np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+
+
+def word_codes(text: str) -> np.ndarray:
+    """64-bit codes of the words of ``text`` in their order, the same in every process.
+
+    The code of a word sums up one mixed number per character and place, so no word is looked at on its own.
+    """
+    characters = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    out, at = [], 0
+    while at < len(characters):
+        part = characters[at : at + BLOCK_CHARS]
+        inside = _in_words()[part]
+        if at + len(part) < len(characters):
+            # A block ends behind its last break, unless it is one long word: that is taken whole.
+            breaks = np.flatnonzero(~inside)
+            if not len(breaks):
+                rest = ~_in_words()[characters[at + len(part) :]]
+                end = at + len(part) + int(rest.argmax()) if rest.any() else len(characters)
+                part = characters[at:end]
+                inside = np.ones(len(part), bool)
+            else:
+                part, inside = part[: breaks[-1] + 1], inside[: breaks[-1] + 1]
+        at += len(part)
+        where = np.flatnonzero(inside)
+        if not len(where):
+            continue
+        firsts = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1] + 1]))
+        lengths = np.diff(np.append(firsts, len(where)))
+        places = np.arange(len(where)) - np.repeat(firsts, lengths)
+        numbers = _mixed((part[where].astype(np.uint64) + (places.astype(np.uint64) << np.uint64(21)) + np.uint64(1)) * _GOLDEN)
+        out.append(_mixed((np.add.reduceat(numbers, firsts) + lengths.astype(np.uint64)) * _GOLDEN))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
 def shingles(codes: np.ndarray) -> np.ndarray:
     """Codes of the five-word shingles in text order; a shorter text is one shingle."""
     n = max(1, len(codes) - SHINGLE + 1) if len(codes) else 0
@@ -93,19 +118,29 @@ def _labelled(found: np.ndarray) -> np.ndarray:
     return np.where(occurrence > 0, _mixed(found + occurrence * _GOLDEN), found)
 
 
+def _least(ranks: np.ndarray, order: int) -> np.ndarray:
+    """Places of the ``order`` smallest numbers of every row, ascending."""
+    bound = np.partition(ranks, order - 1, axis=1)[:, order - 1, None]
+    places = np.flatnonzero(ranks <= bound)
+    if len(places) != len(ranks) * order:
+        # Equal numbers at the bound: the first ones count.
+        return np.sort(np.argsort(ranks, axis=1, kind="stable")[:, :order], axis=1)
+    return (places % ranks.shape[1]).reshape(len(ranks), order)
+
+
 def _sketch(found: np.ndarray, count: int, order: int, seed: int) -> np.ndarray:
     draw = np.random.default_rng(seed)
-    salts = draw.integers(1, 1 << 62, count, dtype=np.uint64)
-    factors = draw.integers(1, 1 << 62, count, dtype=np.uint64) | np.uint64(1)
+    salts = draw.integers(1, 1 << 32, count, dtype=np.uint32)
+    factors = draw.integers(1, 1 << 32, count, dtype=np.uint32) | np.uint32(1)
     out = np.full(count, seed, np.uint64)
-    # As many sketches at a time as keep the table of hashes small, also for a very long text.
-    step = max(1, (1 << 19) // len(found))
+    # Half of a code ranks the shingles; the sketch is made of whole ones.
+    halves = (found >> np.uint64(32)).astype(np.uint32)
+    order = min(order, len(found))
+    # As many sketches at a time as keep the table of ranks in the processor's cache, also for a very long text.
+    step = max(1, (1 << 17) // len(found))
     for i in range(0, count, step):
-        ranks = (found ^ salts[i : i + step, None]) * factors[i : i + step, None]
-        ranks ^= ranks >> np.uint64(32)
-        least = np.argpartition(ranks, order - 1, axis=1)[:, :order] if len(found) > order else np.tile(np.arange(len(found)), (len(ranks), 1))
-        least.sort(axis=1)
-        for j in range(least.shape[1]):
+        least = _least((halves ^ salts[i : i + step, None]) * factors[i : i + step, None], order)
+        for j in range(order):
             out[i : i + step] = _mixed((out[i : i + step] + found[least[:, j]]) * _GOLDEN)
     # The number of the sketch is part of its key.
     return _mixed(out + np.arange(count, dtype=np.uint64) * _GOLDEN)
@@ -128,13 +163,11 @@ def _sketched(texts: DataFrame) -> DataFrame:
     """``id, digest, n, keys`` of the texts ``id, text`` that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = WordCodes()
         for part, own in chunks(batches, "text"):
             ids, digests, sizes, keys = [], [], [], []
             for key, text in zip(part.column(0).to_pylist(), own, strict=True):
-                if not (words := words_of(text)) or key is None:
+                if key is None or not len(codes := word_codes(text)):
                     continue
-                codes = code(words)
                 found = shingles(codes)
                 ids.append(key)
                 digests.append(hashlib.blake2b(codes.tobytes(), digest_size=16).digest())
@@ -156,10 +189,9 @@ def _coded(texts: DataFrame) -> DataFrame:
     """``id, codes``: the word codes of the texts ``id, text`` as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = WordCodes()
         for part, own in chunks(batches, "text"):
             # Half of a code is enough for the alignment and halves what is shuffled.
-            found = [code(words_of(t)).astype(np.uint32).tobytes() for t in own]
+            found = [word_codes(t).astype(np.uint32).tobytes() for t in own]
             yield pa.RecordBatch.from_pydict({"id": part.column(0), "codes": pa.array(found, pa.binary())})
 
     return texts.mapInArrow(run, "id long, codes binary")
@@ -259,6 +291,28 @@ def _verified(pairs: DataFrame, coded: DataFrame, threshold: float) -> DataFrame
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, similarity double")
 
 
+def _sharable(placed: DataFrame, coded: DataFrame) -> DataFrame:
+    """``id, most``: how many shingles of a text an alignment with any text of another component can match at most.
+
+    ``placed`` holds ``id, component`` of the texts in question; a shingle that only one component of them has cannot
+    be matched outside it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [_labelled(shingles(np.frombuffer(c, np.uint32).astype(np.uint64))).view(np.int64) for c in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_pydict({"id": part.column(0), "component": part.column(1), "found": pa.array(found, pa.list_(pa.int64()))})
+
+    found = placed.join(coded, "id").select("id", "component", "codes").mapInArrow(run, "id long, component long, found array<long>")
+    single = cut(found.select("id", "component", F.explode("found").alias("shingle")))
+    ends = single.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    across = single.join(ends.where("low <> high").select("shingle"), "shingle", "left_semi")
+    # Texts without such a shingle are left out: nothing can match them.
+    return across.groupBy("id").agg(F.count("*").alias("most"))
+
+
 def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, class_id, n_copies, kept`` of every row of ``documents``.
 
@@ -300,17 +354,23 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
     # Whatever a bucket still holds of several components is compared across them.
     placed = bucketed.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     torn = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_ = cut(placed.join(torn, "key", "left_semi").select("key", "id", "component").join(reps, "id"))
+    open_ = cut(placed.join(torn, "key", "left_semi").select("key", "id", "component"))
+    most = _sharable(open_.select("id", "component").distinct(), coded)
+    # Not even all shingles that a text shares with other components would do for a text of its own size or smaller.
+    fit = cut(reps.join(most, "id").where(F.col("most") >= threshold * F.col("n") - 1e-9))
+    open_ = cut(open_.join(fit, "id"))
     # Of a component only the hub's links are known, so every row of a smaller one meets every row of another.
     sizes = open_.groupBy("key", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
     marked = open_.join(largest, "key")
-    a = marked.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"), F.col("component").alias("c_a"), "main")
-    b = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"), F.col("component").alias("c_b"))
+    a = marked.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"), F.col("most").alias("most_a"), F.col("component").alias("c_a"), "main")
+    b = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"), F.col("most").alias("most_b"), F.col("component").alias("c_b"))
+    common = F.least("most_a", "most_b")
     across = a.join(b, "key").where(
         (F.col("c_a") != F.col("c_b"))
         & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
         & alike(F.col("n_a"), F.col("n_b"))
+        & (common >= threshold * (F.col("n_a") + F.col("n_b") - common) - 1e-9)
         & agree("keys_a", "keys_b")
     )
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
