@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfacts.llm.common import chunks
-from clickfacts.llm.omh import WordCodes, words_of
+from clickfacts.llm.omh import word_codes
 
 ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.4
 CHUNK_WORDS, RANGE_GRAMS = 1 << 20, 1 << 21
@@ -79,11 +79,11 @@ class _Chunk:
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Chunk]]:
     """Numbered chunks of the documents of this task; the numbers are the same in every run of the same scan."""
-    code, now, count, words = WordCodes(), _Chunk(), 0, 0
+    now, count, words = _Chunk(), 0, 0
     first = TaskContext.get().partitionId() << 32
     for part, texts in chunks(batches, "text"):
         for key, text in zip(part.column(0).to_pylist(), texts, strict=True):
-            own = code(words_of(text))
+            own = word_codes(text)
             if now.ids and words + len(own) > CHUNK_WORDS:
                 yield first + count, now
                 now, count, words = _Chunk(), count + 1, 0
@@ -222,7 +222,7 @@ def score(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, own in chunks(batches, "text"):
-            yield pa.RecordBatch.from_pydict({"words": pa.array([sum(len(words_of(t)) for t in own)], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"words": pa.array([sum(len(word_codes(t)) for t in own)], pa.int64())})
 
     corpus = texts.mapInArrow(sizes, "words long").agg(F.sum("words")).first()[0] or 0
     ranges = max(1, corpus // RANGE_GRAMS)
