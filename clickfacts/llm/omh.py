@@ -42,6 +42,8 @@ SKETCHES, ORDER = 32, 5
 #: Texts of up to SHORT_MOST shingles also have these (0.8 ** 2 each); those of up to SHORT_ONLY have nothing else.
 SHORT_SKETCHES, SHORT_ORDER, SHORT_ONLY, SHORT_MOST = 16, 2, 24, 32
 AGREE = 2
+#: Parts of the hash space by which shared shingles are counted before an alignment.
+CELLS = 64
 #: Characters of a text whose words are coded at a time.
 BLOCK_CHARS = 1 << 19
 _WORD = re.compile(r"[^\W_]+")
@@ -292,10 +294,11 @@ def _verified(pairs: DataFrame, coded: DataFrame, threshold: float) -> DataFrame
 
 
 def _sharable(placed: DataFrame, coded: DataFrame) -> DataFrame:
-    """``id, most``: how many shingles of a text an alignment with any text of another component can match at most.
+    """``id, most, cells``: how many shingles of a text an alignment with texts of other components can match at most.
 
     ``placed`` holds ``id, component`` of the texts in question; a shingle that only one component of them has cannot
-    be matched outside it.
+    be matched outside it. ``cells`` counts the others by parts of the hash space: two texts cannot match more than the
+    sum of the smaller counts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +313,10 @@ def _sharable(placed: DataFrame, coded: DataFrame) -> DataFrame:
     ends = single.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     across = single.join(ends.where("low <> high").select("shingle"), "shingle", "left_semi")
     # Texts without such a shingle are left out: nothing can match them.
-    return across.groupBy("id").agg(F.count("*").alias("most"))
+    counted = across.groupBy("id", F.pmod("shingle", F.lit(CELLS)).cast("int").alias("cell")).agg(F.count("*").cast("int").alias("own"))
+    per_cell = counted.groupBy("id").agg(F.sum("own").alias("most"), F.map_from_entries(F.collect_list(F.struct("cell", "own"))).alias("own"))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.coalesce(F.try_element_at("own", c), F.lit(0)))
+    return per_cell.select("id", "most", cells.alias("cells"))
 
 
 def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -363,14 +369,16 @@ def duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", th
     sizes = open_.groupBy("key", "component").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
     marked = open_.join(largest, "key")
-    a = marked.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"), F.col("most").alias("most_a"), F.col("component").alias("c_a"), "main")
-    b = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"), F.col("most").alias("most_b"), F.col("component").alias("c_b"))
-    common = F.least("most_a", "most_b")
+    a = marked.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"), F.col("most").alias("most_a"), F.col("cells").alias("cells_a"), F.col("component").alias("c_a"), "main")
+    b = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"), F.col("most").alias("most_b"), F.col("cells").alias("cells_b"), F.col("component").alias("c_b"))
+    enough = lambda common: common >= threshold * (F.col("n_a") + F.col("n_b") - common) - 1e-9
+    in_cells = F.aggregate(F.zip_with("cells_a", "cells_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, c: total + c)
     across = a.join(b, "key").where(
         (F.col("c_a") != F.col("c_b"))
         & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
         & alike(F.col("n_a"), F.col("n_b"))
-        & (common >= threshold * (F.col("n_a") + F.col("n_b") - common) - 1e-9)
+        & enough(F.least("most_a", "most_b"))
+        & enough(in_cells)
         & agree("keys_a", "keys_b")
     )
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
