@@ -469,3 +469,43 @@ def test_bpe_query(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(documents[r.doc_id].encode()).hexdigest()
+
+
+def test_word_codes_name_the_words_of_a_text_across_blocks(monkeypatch):
+    draw = random.Random(5)
+    texts = ["", " ,", "x" * 70, "a " * 40, "x²_É ß"] + ["".join(draw.choice("ab é_ßİ½ ²1\U00010400 ,\n") for _ in range(draw.randrange(90))) for _ in range(300)]
+    whole = [omh.word_codes(t).tolist() for t in texts]
+    monkeypatch.setattr(omh, "BLOCK_CHARS", 16)
+    known: dict[str, int] = {}
+    for t, codes in zip(texts, whole, strict=True):
+        assert omh.word_codes(t).tolist() == codes
+        words = omh.words_of(t)
+        assert len(words) == len(codes) and all(known.setdefault(w, c) == c for w, c in zip(words, codes, strict=True))
+    assert len(set(known.values())) == len(known)
+
+
+def test_least_places_with_equal_numbers():
+    ranks = np.random.default_rng(2).integers(0, 40, (64, 30)).astype(np.uint32)
+    expected = np.sort(np.argsort(ranks, axis=1, kind="stable")[:, :5], axis=1)
+    assert all((omh._least(r[None], 5)[0] == e).all() for r, e in zip(ranks, expected, strict=True))
+
+
+def test_near_copies_of_one_text_link_as_all_pairs_do(spark):
+    draw = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for at in draw.sample(range(60), draw.randrange(6)):
+            words[at] = f"v{draw.randrange(400)}"
+        texts.append((i, " ".join(words)))
+    found = {r.doc_id: r.class_id for r in omh.duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    sequences = [omh._labelled(omh.shingles(omh.word_codes(t))) for _, t in texts]
+    pairs = [(a, b) for a in range(60) for b in range(a)]
+    alike = omh.similarities([(sequences[a], sequences[b]) for a, b in pairs])
+    classes = list(range(60))
+    for (a, b), s in zip(pairs, alike, strict=True):
+        if s >= omh.THRESHOLD - 1e-9 and classes[a] != classes[b]:
+            low, high = sorted((classes[a], classes[b]))
+            classes = [low if c == high else c for c in classes]
+    assert found == dict(enumerate(classes)) and len(set(classes)) > 3
