@@ -133,3 +133,17 @@ def test_page_stats_add_up(spark, tmp_path):
     assert last < 8 and partials.where("batch_id > 2").count() < partials.count()
     _lose_last_commit(tmp_path, tmp_path / "state")
     assert go() == got
+
+
+def test_long_days_are_more_files(spark, tmp_path):
+    """No file of a scattered zone is much longer than asked for, each is a task's, and copies of a key can stay together."""
+    views = _undated(star.raw_page_views(star.table(spark, SMALL, "events")))
+    by, root = ["session_id", "page_url", "timestamp"], str(tmp_path / "raw")
+    raw.write_scattered(views, root, F.col("date"), 2, by, rows=20)
+    stored = spark.read.json(root).select("*", F.input_file_name().alias("file"))
+    assert content(stored, "file", "year", "month", "day") == content(views.select(*[F.to_json(F.struct(*views.columns)).alias("j")]).select(
+        F.from_json("j", stored.drop("file", "year", "month", "day").schema).alias("r")).select("r.*"))
+    per_file = [r["count"] for r in stored.groupBy("file").count().collect()]
+    assert len(per_file) > 62 and max(per_file) < 60
+    assert stored.groupBy(*by, "date").agg(F.count_distinct("file").alias("n")).agg(F.max("n")).first()[0] == 1
+    raw.write_scattered(views.limit(0), f"{root}-none", F.col("date"), 2, by)
