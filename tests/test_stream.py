@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickfacts.operators import clean, pages
 from clickfacts.plans import ingest
+from clickfacts.queries import storage
 from clickfacts.sources import raw, star
 from clickfacts.streaming import ingest as stream
 from clickfacts.streaming import pageviews
@@ -147,3 +148,58 @@ def test_long_days_are_more_files(spark, tmp_path):
     assert len(per_file) > 62 and max(per_file) < 60
     assert stored.groupBy(*by, "date").agg(F.count_distinct("file").alias("n")).agg(F.max("n")).first()[0] == 1
     raw.write_scattered(views.limit(0), f"{root}-none", F.col("date"), 2, by)
+
+
+def test_state_is_on_disk_and_holds_digests(spark, tmp_path):
+    views = star.raw_page_views(star.table(spark, SMALL, "events"))
+    root = str(tmp_path / "raw")
+    raw.write_raw(views, root, F.col("date"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    events = raw.stream_events(spark, root, "page_view")
+    unique = pageviews.start_unique(events, "page_view", str(tmp_path / "unique"), str(tmp_path / "state"))
+    stats = pageviews.start_page_stats(clean.parse_page_views(events), str(tmp_path / "stats"), str(tmp_path / "stats-state"))
+    for query in (unique, stats):
+        query.awaitTermination()
+        assert "rocksdbPutCount" in str([p.json for p in query.recentProgress])
+    assert spark.conf.get(name) == before
+    keys = spark.read.format("statestore").load(str(tmp_path / "state")).select("key.*")
+    assert keys.dtypes == [("_digest", "binary")]
+
+
+def test_digests_differ_where_rows_do(spark):
+    rows = [("a", None, 1), ("a", "", 1), (None, "a", 1), ('a","t":"', "b", 1), ("a", '","t":"b', 1), ("a", "b", 1), ("a", "b", 2)]
+    df = spark.createDataFrame(rows, "s string, t string, n long").withColumn("at", F.timestamp_micros("n"))
+    digests = [r[0] for r in df.select(pageviews._digest(df)).collect()]
+    assert len(set(digests)) == len(rows) and digests == [r[0] for r in df.select(pageviews._digest(df)).collect()]
+
+
+def test_a_long_day_of_a_batch_is_split(spark, tmp_path):
+    """Streams with state run without adaptive execution; the write of their batches still splits a day by size."""
+    rows = spark.range(20000).select(F.lit(date(2024, 1, 1)).alias("date"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        pageviews._write(rows.repartition(8), str(tmp_path / "out"), 0)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "out").glob("batch_id=0/date=*/*.parquet"))) > 1
+
+
+def test_a_batch_takes_more_files_of_a_large_zone(spark, tmp_path, monkeypatch):
+    root = tmp_path / "raw"
+    monkeypatch.setattr(storage, "scattered_zone", lambda *_: str(root))
+    taken = []
+    monkeypatch.setattr(storage.raw, "stream_events", lambda spark, root, kind, files: taken.append(files))
+    cores = spark.sparkContext.defaultParallelism
+    for n in (3, 30, 9 * cores):
+        for i in range(n):
+            path = root / f"event_type=page_view/year=2024/month=01/day=01/{i}.json"
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text("{}\n")
+        storage._feed_stream(spark, "none", "page_view", 5)
+    assert taken == [5, 10, 2 * cores]
