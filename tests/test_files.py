@@ -12,6 +12,7 @@ from clickfacts import schemas
 from clickfacts.functions import columns as C
 from clickfacts.operators import clean, quality
 from clickfacts.plans import daily, ingest
+from clickfacts.queries import registry
 from clickfacts.sources import catalog, raw, staging, star, tables
 from clickfacts.streaming.ingest import start_ingest, start_notified
 from tests.test_rules import OTHERS, line, page
@@ -152,6 +153,23 @@ def test_lines_can_be_spread(spark, tmp_path):
     assert "RoundRobinPartitioning" in plan
 
 
+def test_long_work_per_row_is_dealt_by_rows(spark, monkeypatch):
+    """A table that is one small file is many tasks where the work per row is long; one that is dealt already stays."""
+    events = spark.createDataFrame([(i % 3 or None,) for i in range(250)], "event_id long").coalesce(1)
+    kept = spark.conf.get("spark.clickfacts.tasks", None)
+    assert star.dealt(events, 100).rdd.getNumPartitions() == 1
+    try:
+        spark.conf.unset("spark.clickfacts.tasks")
+        dealt = star.dealt(events, 100)
+        assert dealt.rdd.getNumPartitions() == 3 and sorted(map(str, dealt.collect())) == sorted(map(str, events.collect()))
+        assert star.dealt(events.limit(0), 100).count() == 0
+        monkeypatch.setattr(star, "dealt", lambda df: df.repartition(7))
+        assert registry.dealt_events(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 7
+    finally:
+        if kept:
+            spark.conf.set("spark.clickfacts.tasks", kept)
+
+
 def test_first_invalid_of_a_large_file(spark):
     rows = [("f", b * (40 << 30), b * 1000 + i, "x", "invalid") for b in range(8) for i in range(30)]
     df = spark.createDataFrame(rows, "path string, block long, pos long, line string, status string").repartition(5)
