@@ -20,8 +20,18 @@ NON_WORD = r"[^\p{L}\p{N}]+"
 CHUNK_CHARS = 1 << 21
 
 
+def tidy(spark: SparkSession) -> SparkSession:
+    """Let shuffle files go when the action that wrote them ends, instead of when the driver collects its garbage.
+
+    Set before data frames are made. The operators cut their lineage, so no later action reads these files; one that
+    does (a frame collected twice) computes them again."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the Python workers, once per application: they need not share the driver's files."""
+    tidy(spark)
     context = spark.sparkContext
     if not getattr(context, "_clickfacts_shipped", False):
         root = Path(__file__).resolve().parents[2]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfacts.llm import bpe, crf, decontam, omh, pii
-from clickfacts.llm.common import shared_dir, ship, table
+from clickfacts.llm.common import shared_dir, ship, table, tidy
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: A deployment passes its own secret to ``pii.pseudonymise``.
@@ -43,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tidy(spark)
     found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
@@ -79,7 +80,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage keeps is written to the shared folder and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(tidy(spark), sf_dir, "documents")
     folder = f"{shared_dir(spark)}/clickfacts-llm/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"

@@ -1,6 +1,8 @@
 """The pipeline: order, columns, decisions, and awkward rows."""
 
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +88,25 @@ def test_empty(spark, awkward):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_no_shuffle_file_outlives_its_action(spark, awkward, tmp_path):
+    """Each stage leaves none of its shuffle files on the local disks, without the driver collecting garbage."""
+    folder, _ = awkward
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        found = set()
+        for top in disk.localDirsString():
+            for _, _, names in os.walk(top):
+                found |= {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+        return found
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before, until = kept(), time.monotonic() + 10
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{number}")
+        while kept() - before and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not kept() - before
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
