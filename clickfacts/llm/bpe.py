@@ -7,8 +7,9 @@ The split pattern is the one of the public byte-level tokenizers::
 Instead of a regular expression, every codepoint becomes one of nine symbols (its class, with one codepoint of
 look-ahead for white space and two for contractions). A symbol is a transition function on eight states. Functions
 compose associatively, so the texts are laid out in equal blocks: all blocks compose their functions side by side, a
-scan over the blocks gives each its entry state, and a second pass marks where a slice begins. Slices are looked up in
-a bounded cache and merged pair by pair, lowest rank first, where they are new.
+scan over the blocks gives each its entry state, and a second pass marks where a slice begins. The different slices are
+found by an Arrow dictionary over the bytes of the texts, looked up in a bounded cache and merged pair by pair, lowest
+rank first, where they are new.
 
 Null and empty texts have no tokens and decode to empty bytes. Texts of any length are processed whole.
 """
@@ -20,7 +21,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import accumulate
+from itertools import accumulate, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -140,50 +141,36 @@ def slice_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 class Slices:
-    """The slices of several texts: where each begins in the joined codepoints, its length, and how many a text has."""
+    """The slices of several texts: where each begins in their joined bytes, and how many a text has."""
 
     def __init__(self, texts: list[str]):
-        self.joined = "\0".join([*texts, ""])
-        self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        joined = "\0".join([*texts, ""])
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.fromiter(accumulate(len(t) + 1 for t in texts), np.int64, len(texts)) - 1
-        starts = slice_starts(self.codes, ends)
-        self.ends = ends
+        starts = slice_starts(codes, ends)
         closing = np.searchsorted(starts, ends)
         self.per_text = np.diff(closing, prepend=-1) - 1
-        lengths = np.diff(starts, append=len(self.codes))
-        real = np.ones(len(starts), bool)
-        real[closing] = False
-        self.starts, self.lengths = starts[real], lengths[real]
+        self._real = np.ones(len(starts), bool)
+        self._real[closing] = False
+        self._data = joined.encode("utf-8", "surrogatepass")
+        # The byte of every codepoint: all bytes but those that continue one.
+        places = np.flatnonzero((np.frombuffer(self._data, np.uint8) & 0xC0) != 0x80)
+        self._cuts = places[starts]
+        self._firsts = places[np.append(0, ends[:-1] + 1)] if len(ends) else ends
 
     def byte_starts(self) -> np.ndarray:
         """The byte of its text, in UTF-8, at which every slice begins."""
-        codes = self.codes
-        sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
-        before = np.cumsum(sizes) - sizes
-        firsts = before[np.append(0, self.ends[:-1] + 1)] if len(self.ends) else self.ends
-        return before[self.starts] - np.repeat(firsts, self.per_text)
-
-    def distinct(self) -> tuple[list[str], np.ndarray]:
-        """The different slices, and for every slice which of them it is."""
-        if not len(self.starts):
-            return [], np.empty(0, np.int64)
-        places = _gather(np.arange(len(self.codes)), self.starts, self.lengths)
-        before = np.cumsum(self.lengths) - self.lengths
-        inside = np.arange(len(places)) - np.repeat(before, self.lengths)
-        factors = np.random.default_rng(3).integers(1, 1 << 63, int(self.lengths.max()) + 1, dtype=np.uint64)
-        own = self.codes[places]
-        sums = np.add.reduceat((own.astype(np.uint64) + np.uint64(1)) * factors[inside], before)
-        _, first, which = np.unique(sums, return_index=True, return_inverse=True)
-        # Slices of one hash are compared codepoint by codepoint with the first of them.
-        chosen = self.starts[first][which]
-        alike = (self.lengths == self.lengths[first][which]) & np.logical_and.reduceat(
-            own == self.codes[np.minimum(np.repeat(chosen, self.lengths) + inside, len(self.codes) - 1)], before
-        )
-        odd = np.flatnonzero(~alike)
-        which[odd] = len(first) + np.arange(len(odd))
-        first = np.concatenate([first, odd])
-        begins, stops = self.starts[first].tolist(), (self.starts + self.lengths)[first].tolist()
-        return [self.joined[i:j] for i, j in zip(begins, stops, strict=True)], which
+        return self._cuts[self._real] - np.repeat(self._firsts, self.per_text)
+
+    def distinct(self) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The different slices in UTF-8, and for every slice which of them it is; the closing codepoint is among them."""
+        if not self._real.any():
+            return pa.array([], pa.large_binary()), np.empty(0, np.int64)
+        # Slices and closing codepoints follow each other without gaps.
+        offsets = np.append(self._cuts, len(self._data))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(self._data)]
+        found = pa.Array.from_buffers(pa.large_binary(), len(self._cuts), buffers).dictionary_encode()
+        return found.dictionary, found.indices.to_numpy(zero_copy_only=False)[self._real]
 
 
 def _stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -219,6 +206,8 @@ class Vocabulary:
         self.byte_starts = np.cumsum(self.byte_counts) - self.byte_counts
         self._single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self._hash_pairs()
+        #: The token that two bytes make.
+        self._first = self._joined(np.repeat(self._single, 256), np.tile(self._single, 256)).reshape(256, 256)
         self._forget()
 
     def _hash_pairs(self) -> None:
@@ -265,11 +254,11 @@ class Vocabulary:
 
     def _forget(self) -> None:
         """Empty the cache: slice -> number, and by number where its tokens lie."""
-        self._known: dict[str, int] = {}
+        self._known: dict[bytes, int] = {}
         self._flat, self._used = np.empty(1 << 16, np.int32), 0
         self._starts, self._counts = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
-    def _keep(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
         first, n, total = len(self._known), len(pieces), len(ids)
         while self._used + total > len(self._flat):
             self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
@@ -314,22 +303,23 @@ class Vocabulary:
                     heappush(heap, joined << 32 | left)
         return [t for t in ids if t >= 0]
 
-    def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """``merge`` of many slices of similar length at once: a row each, one pair joined per row and round.
+    def merge_all(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many slices of similar length at once: a row each, one pair joined per row and round. A slice is
+        ``lengths`` bytes of ``data`` from ``starts`` on.
 
         Returns the tokens of all slices one after the other, and their numbers."""
         none = self.none
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         width = int(lengths.max())
         columns = np.arange(width)
-        tokens = np.zeros((len(pieces), width), np.int32)
-        tokens[columns < lengths[:, None]] = self._single[np.frombuffer(b"".join(pieces), np.uint8)]
-        out, counts = tokens.copy(), lengths.copy()
+        raw = np.zeros((len(lengths), width), np.uint8)
+        raw[columns < lengths[:, None]] = _gather(data, starts, lengths)
+        tokens = self._single[raw]
+        out, counts, lengths = tokens.copy(), lengths.copy(), lengths.copy()
         # One column more than pairs: it stays without a token and moves in from the right.
-        scores = np.full((len(pieces), width), none, np.int32)
-        pairs = columns < (lengths - 1)[:, None]
-        scores[pairs] = self._joined(tokens[:, :-1][pairs[:, :-1]], tokens[:, 1:][pairs[:, :-1]])
-        rows = np.arange(len(pieces))
+        scores = np.full((len(lengths), width), none, np.int32)
+        pairs = columns[:-1] < (lengths - 1)[:, None]
+        scores[:, :-1][pairs] = self._first[raw[:, :-1][pairs], raw[:, 1:][pairs]]
+        rows = np.arange(len(lengths))
         while True:
             at = scores.argmin(axis=1)
             best = scores[np.arange(len(at)), at]
@@ -352,28 +342,33 @@ class Vocabulary:
             scores[fresh, place] = self._joined(tokens[fresh, place], tokens[fresh, place + 1])
         return out[columns < counts[:, None]], counts
 
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
+    def _numbers(self, pieces: pa.LargeBinaryArray) -> np.ndarray:
         """Numbers of different slices in the cache; those it lacks are merged first, those of like length together."""
         if len(self._known) > CACHE_SLICES or self._used > CACHE_TOKENS:
             self._forget()
-        known = self._known
-        numbers = list(map(known.get, pieces))
-        new = [i for i, number in enumerate(numbers) if number is None]
-        by_width: dict[int, list[str]] = {}
-        for i in new:
-            by_width.setdefault(-(-len(pieces[i]) // 4), []).append(pieces[i])
-        for width, found in by_width.items():
-            if width > 16:
-                for piece in found:
-                    ids = self.merge(piece.encode("utf-8", "surrogatepass"))
-                    self._keep([piece], np.array(ids, np.int32), np.array([len(ids)]))
-                continue
-            for start in range(0, len(found), 4096):
-                part = found[start : start + 4096]
-                self._keep(part, *self.merge_all([p.encode("utf-8", "surrogatepass") for p in part]))
-        for i in new:
-            numbers[i] = known[pieces[i]]
-        return np.array(numbers, np.int64)
+        if not len(pieces):
+            return np.empty(0, np.int64)
+        _, offsets, data = pieces.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        whole, places = data.to_pybytes(), offsets.tolist()
+        keys = [whole[i:j] for i, j in pairwise(places)]
+        numbers = np.fromiter(map(self._known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(numbers < 0)
+        data, lengths = np.frombuffer(whole, np.uint8), np.diff(offsets)
+        widths = -(-lengths[new] // 4)
+        for width in np.unique(widths).tolist():
+            found = new[widths == width]
+            step = 4096 if width <= 16 else 1
+            for start in range(0, len(found), step):
+                part = found[start : start + step]
+                own = [keys[i] for i in part.tolist()]
+                numbers[part] = len(self._known) + np.arange(len(part))
+                if width <= 16:
+                    self._keep(own, *self.merge_all(data, offsets[part], lengths[part]))
+                else:
+                    ids = self.merge(own[0])
+                    self._keep(own, np.array(ids, np.int32), np.array([len(ids)]))
+        return numbers
 
     def _coded(self, texts: list[str]) -> tuple[Slices, np.ndarray, np.ndarray, np.ndarray]:
         slices = Slices(texts)

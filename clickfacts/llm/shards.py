@@ -8,7 +8,8 @@ gets one global slot, every slot one sequence, and anyone with the key can compu
 Shard ``k`` holds the slots from ``k * per_shard`` on, one record per slot in order, all of the same stride; slot ``s``
 begins at byte ``(s mod per_shard) * stride`` of shard ``s div per_shard``. So a reader can stop and resume at any slot
 with one seek. Shards are written by Spark's text sink (its line feed is the last byte of the stride): a lost task is
-repeated, and a failed job leaves no shards behind.
+repeated, and a failed job leaves no shards behind. The records of a third of the shards are shuffled at a time, so
+that never more than those are on disk besides the staged tokens and the shards.
 
 A record is: document key (int64), sequence number in the document (int32), 1 for a null key else 0 (uint16), number of
 tokens (uint16), ``length`` token ids (uint16, zeros after the last), line feed; all little-endian. Null and empty
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ from clickfacts.llm.common import chunks, cut, shared_dir
 
 LENGTH, PER_SHARD, ROUNDS = 256, 1 << 15, 6
 MOST_TASKS = 100_000
+#: Actions that write the shards, each a range of them.
+WRITES = 3
 _HEADER = 16
 
 
@@ -97,8 +101,16 @@ def _encoded(documents: DataFrame, path: str, end: int, length: int) -> DataFram
     return documents.mapInArrow(run, "id long, task long, before long, sequences long, ids binary")
 
 
-def _records(rows: DataFrame, total: int, key: str, length: int, per_shard: int) -> DataFrame:
-    """``shard, slot, record`` of every sequence of the rows ``id, first, sequences, ids``."""
+def _rows(table: np.ndarray) -> pa.Array:
+    """The rows of a table of bytes as binary values."""
+    n, size = table.shape
+    buffers = [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(size)), pa.py_buffer(table)]
+    return pa.Array.from_buffers(pa.binary(), n, buffers)
+
+
+def _records(rows: DataFrame, total: int, key: str, length: int, per_shard: int, low: int, high: int) -> DataFrame:
+    """``shard, slot, record`` of every sequence of the rows ``id, first, sequences, ids`` in the shards ``low`` to ``high``
+    (exclusive)."""
     size = stride(length) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,13 +137,18 @@ def _records(rows: DataFrame, total: int, key: str, length: int, per_shard: int)
                     header["tokens"][at + count - 1] = len(data) // 2 - (count - 1) * length
                     at += count
                 table[:, :_HEADER] = header.view(np.uint8).reshape(n, _HEADER)
-                offsets = (np.arange(n + 1) * size).astype(np.int32)
-                record = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(table)])
+                own = np.flatnonzero((slots >= low * per_shard) & (slots < high * per_shard))
+                slots, record = slots[own], _rows(table[own])
                 yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), record], ["shard", "slot", "record"])
 
     return rows.mapInArrow(run, "shard long, slot long, record binary")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(documents: DataFrame, path: str, vocabulary_path: str, end: int, key: str, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, per_shard: int = PER_SHARD) -> int:
     """Write the shards of ``documents`` below ``path`` and return the number of sequences.
 
@@ -151,12 +168,24 @@ def materialise(documents: DataFrame, path: str, vocabulary_path: str, end: int,
     if known <= MOST_TASKS:
         offsets = F.broadcast(offsets)
     numbered = tokens.join(offsets, "task").select("id", (F.col("before") + F.col("offset")).alias("first"), "sequences", "ids")
-    records = _records(numbered, total, key, length, per_shard)
     count = max(1, -(-total // per_shard))
-    lines = records.repartition(count, "shard").sortWithinPartitions("shard", "slot")
-    lines.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("compression", "none").text(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    writes, written = min(WRITES, count), 0
+    try:
+        for low, high in pairwise(count * i // writes for i in range(writes + 1)):
+            records = _records(numbered, total, key, length, per_shard, low, high)
+            # A task for each shard: dealt by hash, some would get several.
+            dealt = records.repartitionById(high - low, (F.col("shard") - low).cast("int"))
+            lines = dealt.sortWithinPartitions("shard", "slot")
+            lines = lines.select("shard", F.col("record").cast("string").alias("value"))
+            sink = lines.write.mode("append" if written else "errorifexists").partitionBy("shard").option("compression", "none")
+            # The mark of success comes with the last shards.
+            sink.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(high == count).lower()).text(path)
+            written = high
+    except BaseException:
+        if written:
+            _delete(spark, path)
+        raise
+    _delete(spark, staged)
     return total
 
 
@@ -189,7 +218,7 @@ def read(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int =
                             "id": pa.array(header["id"].copy(), mask=header["none"] == 1),
                             "number": pa.array(header["number"].copy()),
                             "n_tokens": pa.array(header["tokens"].astype(np.int32)),
-                            "record": pa.array([row.tobytes() for row in part], pa.binary()),
+                            "record": _rows(part),
                         }
                     )
 

@@ -402,6 +402,36 @@ def test_shards_round_trip(spark, tmp_path):
     assert shards.read(spark, empty).count() == 0
 
 
+def test_shards_are_shuffled_a_third_at_a_time(spark, tmp_path, monkeypatch):
+    """Every write takes a range of the shards; when one fails, the shards of those before it go, earlier files stay."""
+    ship(spark)
+    rows = spark.createDataFrame([(i, "word " * (i * 7 % 40), "x") for i in range(60)], DOCS)
+    own, ranges = shards._records, []
+    monkeypatch.setattr(shards, "_records", lambda *a: ranges.append(a[-2:]) or own(*a))
+    path = tmp_path / "out"
+    total = shards.materialise(rows, str(path), queries.BYTE_BPE, 50256, "k", length=8, per_shard=16)
+    count = -(-total // 16)
+    assert [low for low, _ in ranges] == [0, *(high for _, high in ranges[:-1])] and ranges[-1][1] == count
+    assert count > 3 and max(high - low for low, high in ranges) <= -(-count // 3)
+    assert sorted(r.slot for r in shards.read(spark, str(path), 8, 16).collect()) == list(range(total))
+    assert (path / "_SUCCESS").exists() and not (tmp_path / "out-tokens").exists()
+
+    def failing(*a):
+        if a[-2]:
+            assert not (tmp_path / "failed" / "_SUCCESS").exists()
+            raise RuntimeError("lost")
+        return own(*a)
+
+    monkeypatch.setattr(shards, "_records", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        shards.materialise(rows, str(tmp_path / "failed"), queries.BYTE_BPE, 50256, "k", length=8, per_shard=16)
+    assert not (tmp_path / "failed").exists()
+    monkeypatch.setattr(shards, "_records", own)
+    with pytest.raises(Exception, match="(?i)exists"):
+        shards.materialise(rows, str(path), queries.BYTE_BPE, 50256, "k", length=8, per_shard=16)
+    assert sorted(r.slot for r in shards.read(spark, str(path), 8, 16).collect()) == list(range(total))
+
+
 def _sharded(rows):
     out = {}
     for r in rows:

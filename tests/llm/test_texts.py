@@ -99,6 +99,20 @@ def test_bpe_offsets_place_tokens():
             known.decode_at(ids, wrong, counts)
 
 
+def test_bpe_distinct_slices_are_bytes_of_the_texts():
+    """Each different slice occurs once, as its UTF-8, and the indices give the texts back; no string is made per slice."""
+    texts = ["It's é漢😀 time time", "", "\0\0 a\0", "  two\n words\ud800 \udc00", "", "time"]
+    slices = bpe.Slices(texts)
+    pieces, which = slices.distinct()
+    found = pieces.to_pylist()
+    assert len(set(found)) == len(found) and set(which.tolist()) | {found.index(b"\0")} == set(range(len(found)))
+    assert b"".join(found[i] for i in which) == "".join(texts).encode("utf-8", "surrogatepass")
+    assert [found[i] for i in which[: slices.per_text[0]]][:2] == [b"It", b"'s"]
+    assert found.count(b" time") == 1 and slices.per_text[[1, 4, 5]].tolist() == [0, 0, 1]
+    none, which = bpe.Slices(["", ""]).distinct()
+    assert len(none) == len(which) == 0
+
+
 def test_bpe_long_runs(reference):
     """A run of a million letters takes seconds and equals the library; shorter ones equal a search for the lowest pair."""
     known, draw = bpe.vocabulary(PATH), random.Random(4)
