@@ -1,6 +1,8 @@
 """Streaming jobs against their batch counterparts."""
 
+import os
 import shutil
+import time
 import uuid
 from datetime import UTC, date, datetime
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickfacts.operators import clean, pages
 from clickfacts.plans import ingest
-from clickfacts.queries import storage
+from clickfacts.queries import registry, storage
 from clickfacts.sources import raw, star
 from clickfacts.streaming import ingest as stream
 from clickfacts.streaming import pageviews
@@ -203,3 +205,87 @@ def test_a_batch_takes_more_files_of_a_large_zone(spark, tmp_path, monkeypatch):
             path.write_text("{}\n")
         storage._feed_stream(spark, "none", "page_view", 5)
     assert taken == [5, 10, 2 * cores]
+
+
+def _order_tables(spark, folder, orders=40):
+    """Order lines of some keys, repeated lines, a line without an order and a null key."""
+    rows = [(k, 100 + k % 7, n, float(k), 10.5 * k, "ANR"[k % 3], datetime(1995 + k % 3, 1 + k % 12, 3)) for k in range(orders) for n in range(1, 7)]
+    rows += [*rows[:9], (999, 1, 1, 1.0, 2.0, "A", datetime(1995, 1, 1)), (None, 1, 1, 1.0, 2.0, "A", datetime(1995, 1, 1))]
+    names = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp"
+    spark.createDataFrame(rows, names).write.parquet(f"{folder}/lineitem.parquet")
+    customers = [(k, k % 11 or None) for k in range(orders)]
+    spark.createDataFrame([*customers, (None, 3)], "o_orderkey long, o_custkey long").write.parquet(f"{folder}/orders.parquet")
+    return (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("lineitem", "orders"))
+
+
+def _shuffles(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {n for top in disk.localDirsString() for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def _gone(found):
+    until = time.monotonic() + 10
+    while found() and time.monotonic() < until:
+        time.sleep(0.1)
+    return not found()
+
+
+def _unique_rows(spark, tmp_path, monkeypatch, name, kind, raw_rows):
+    """A dedup query in one round and in several: the rows of a batch job; only unique events stay on disk, no shuffle file."""
+    lines, orders = _order_tables(spark, tmp_path)
+    columns = registry.QUERIES[name](spark, str(tmp_path)).columns
+    feed = pageviews.FEEDS[kind]
+    dated = raw_rows(lines, orders).withColumn("date", F.trunc("date", "year"))
+    want = content(feed.one(feed.parse(dated)).withColumn("date", registry.day()).select(columns))
+    for rows in (registry.ROUND_ROWS, 30):
+        shared, before = tmp_path / f"shared{rows}", _shuffles(spark)
+        monkeypatch.setattr(registry, "ROUND_ROWS", rows)
+        monkeypatch.setattr(storage.staging, "shared_root", lambda _, to=shared: str(to))
+        got = registry.QUERIES[name](spark, str(tmp_path))
+        assert _gone(lambda: _shuffles(spark) - before)
+        assert content(got) == want, rows
+        left = {p.name for p in (shared / "clickfacts").iterdir() if not p.name.startswith("scattered-")}
+        assert len(left) == 1 and left.pop().endswith("-unique") == (rows == 30)
+
+
+def test_carts_leave_their_unique_events_only(spark, tmp_path, monkeypatch):
+    _unique_rows(spark, tmp_path, monkeypatch, "stream_dedup_carts", "cart_event", star.raw_cart_events)
+
+
+def test_a_round_selects_sessions_below_the_join(spark, tmp_path, monkeypatch):
+    lines, orders = _order_tables(spark, tmp_path)
+    monkeypatch.setattr(registry, "ROUND_ROWS", 100)
+    rounds = registry.in_rounds(star.raw_cart_events(lines, orders), 300)
+    plan = rounds[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(rounds) == 3 and plan.index("Join") < plan.index("pmod") and plan.count("pmod") == 2
+    assert sorted(r for some in rounds for r in content(some)) == content(star.raw_cart_events(lines, orders))
+
+
+def test_checkpoints_hold_changes_of_short_digests(spark, tmp_path):
+    """The checkpoint has each change once and no rewritten state, and forgets old batches; read files go if asked."""
+    views = star.raw_page_views(star.table(spark, SMALL, "events"))
+    root, out, state = (str(tmp_path / n) for n in ("raw", "out", "state"))
+    raw.write_scattered(views, root, F.col("date"), 2, views.columns)
+    events = raw.stream_events(spark, root, "page_view", 12, consume=True)
+    pageviews.start_unique(events, "page_view", out, state).awaitTermination()
+    assert content(pageviews.read_unique(spark, out, "page_view")) == content(clean.dedup_page_views(clean.parse_page_views(views)))
+    names = [p.name for p in (tmp_path / "state" / "state").rglob("*")]
+    assert any(n.endswith(".changelog") for n in names) and not any(n.endswith(".sst") for n in names)
+    assert len([p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()]) <= 3
+    assert [len(r[0]) for r in spark.read.format("statestore").load(state).select("key._digest").distinct().limit(5).collect()] == [16] * 5
+    # The files of the last batch may stay.
+    left = [p for p in (tmp_path / "raw").rglob("*.gz")]
+    assert len(left) <= 12
+
+
+def test_parts_of_the_state_are_bounded_by_cores(spark, tmp_path):
+    name = "spark.sql.shuffle.partitions"
+    before, most = spark.conf.get(name), 4 * spark.sparkContext.defaultParallelism
+    try:
+        for given in (most + 100, most, 3):
+            spark.conf.set(name, given)
+            with storage.pageviews.state_on_disk(spark):
+                assert int(spark.conf.get(name)) == min(given, most)
+            assert int(spark.conf.get(name)) == given
+    finally:
+        spark.conf.set(name, before)
