@@ -252,6 +252,10 @@ def test_carts_leave_their_unique_events_only(spark, tmp_path, monkeypatch):
     _unique_rows(spark, tmp_path, monkeypatch, "stream_dedup_carts", "cart_event", star.raw_cart_events)
 
 
+def test_products_leave_their_unique_events_only(spark, tmp_path, monkeypatch):
+    _unique_rows(spark, tmp_path, monkeypatch, "stream_dedup_products", "product_view", star.raw_product_views)
+
+
 def test_a_round_selects_sessions_below_the_join(spark, tmp_path, monkeypatch):
     lines, orders = _order_tables(spark, tmp_path)
     monkeypatch.setattr(registry, "ROUND_ROWS", 100)
